@@ -636,10 +636,10 @@ def _(g):
 
 
 @check("w12_unwatched", """
-    SELECT user_id, selected_content_id AS content_id FROM searches WHERE coalesce(selected_content_id, '') <> '' EXCEPT SELECT user_id, content_id FROM stg""")
+    SELECT user_id, content_id FROM raw WHERE event_type = 'error' AND content_id <> '' EXCEPT SELECT user_id, content_id FROM stg""")
 def _(g):
-    found = g.searches.where(F.col("selected_content_id") != "").select("user_id", F.col("selected_content_id").alias("content_id"))
-    return found.join(g.events.select("user_id", "content_id"), ["user_id", "content_id"], "left_anti").distinct()
+    tried = g.raw.where((F.col("event_type") == "error") & (F.col("content_id") != "")).select("user_id", "content_id")
+    return tried.join(g.events.select("user_id", "content_id"), ["user_id", "content_id"], "left_anti").distinct()
 
 
 # --- stream operators, batch twins ------------------------------------------

@@ -110,14 +110,15 @@ def tumbling_metrics(events: DataFrame, width: str = "1 minute") -> DataFrame:
 
 
 def late_flag(df: DataFrame, order_col: str, lateness_seconds: float = 30.0, scope: list[str] = (),
-              ts: str = "event_time", chunk_rows: int = 1_000_000) -> DataFrame:
+              ts: str = "event_time", chunk_rows: int = 1_000_000, start: DataFrame | None = None) -> DataFrame:
     """Add ``is_late``: event time below the running maximum minus the lateness.
 
     ``order_col`` is the arrival number within ``scope`` (a stream offset).
     Arrival numbers are cut into chunks; the maximum before each chunk comes
     from a small table of chunk maxima, the one inside it from a window over
     that chunk alone. No task ever holds more than one chunk, however uneven
-    the scopes are.
+    the scopes are. ``start`` gives each scope's maximum before the first row
+    (scope columns, ``high_mark``).
     """
     scope = list(scope)
     chunked = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_rows)).cast("bigint"))
@@ -134,6 +135,9 @@ def late_flag(df: DataFrame, order_col: str, lateness_seconds: float = 30.0, sco
         .join(block_prev, [*scope, "_block"])
         .select(*scope, "_chunk", F.greatest("_cprev", "_bprev").alias("_prev"))
     )
+    if start is not None:
+        given = prefix.join(start, scope, "left") if scope else prefix.join(start)
+        prefix = given.withColumn("_prev", F.greatest("_prev", "high_mark")).drop("high_mark")
     inside = Window.partitionBy(*scope, "_chunk").orderBy(order_col, ts).rowsBetween(Window.unboundedPreceding, 0)
     seen = F.greatest(F.max(ts).over(inside), F.col("_prev"))
     limit = F.expr(f"INTERVAL {lateness_seconds} SECONDS")

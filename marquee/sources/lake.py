@@ -40,10 +40,13 @@ def write_lake(df: DataFrame, root: str, as_of, topic: str = "topic", salts: int
 
 def read_lake(spark: SparkSession, root: str, date: str, category: str | None = None, schema=None) -> DataFrame:
     """Records of one day; the filters prune folders."""
-    # hour stays text, so 07 is not read as 7
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(root).where(F.col("date") == date)
-    return df if category is None else df.where(F.col("category") == category)
+    df = reader.parquet(root).where(F.col("date") == F.lit(date))
+    if category is not None:
+        df = df.where(F.col("category") == category)
+    # folder names made of digits are read as numbers; hours are text
+    hour = F.col("hour").cast("string")
+    return df.withColumn("hour", F.when(hour == NO_HOUR, hour).otherwise(F.lpad(hour, 2, "0")))
 
 
 def write_bronze(events: DataFrame, root: str) -> None:
