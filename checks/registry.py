@@ -11,6 +11,7 @@ from checks.sql import AS_OF as NOW, DEVICE, EV, PLAY_TYPES, completion, minute,
 from marquee.functions import masking, scalars, vectors
 from marquee.operators import factors, governance, hybrid, quality, rollups, rules, sessions, staging, text, vector
 from marquee.plans import daily, marts
+from marquee.session import cut_lineage
 from marquee.sources import events as sources, tables, upsert
 from marquee.streaming import monitors
 
@@ -923,7 +924,8 @@ def _(g):
 
 
 def purchase_rules(g):
-    return rules.association_rules(rules.baskets(g.purchases))
+    """The rules as a stored table, as the lookups below read them."""
+    return cut_lineage(rules.association_rules(rules.baskets(g.purchases)))
 
 
 @check("r01_baskets", "SELECT user_id, content_id FROM baskets")
@@ -933,7 +935,7 @@ def _(g):
 
 @check("r02_association_rules", "SELECT * FROM rules")
 def _(g):
-    return purchase_rules(g)
+    return rules.association_rules(rules.baskets(g.purchases))
 
 
 @check("r03_co_watched", "SELECT * FROM co_watch WHERE rank <= 6")

@@ -14,6 +14,9 @@ from marquee.session import cut_lineage
 FULL_POSITION = 5400.0
 FULL_PLAYBACK = 3600.0
 
+# largest set of title vectors sent to every executor
+BROADCAST_BYTES = 64 * 2**20
+
 
 def implicit_scores(events: DataFrame) -> DataFrame:
     """ratio × log1p(play + 1) from the largest position and play time of each pair."""
@@ -65,6 +68,11 @@ def _spread(scores: DataFrame, vectors: DataFrame, on: str, to: str, width: int)
     return rows.select(to, F.array(*[f"v{j}" for j in range(width)]).alias("vec"))
 
 
+def _sent(vectors: DataFrame, rows: int, width: int) -> DataFrame:
+    """Broadcast the vectors if they are known to be small; else leave the join to Spark."""
+    return F.broadcast(vectors) if rows * width * 8 <= BROADCAST_BYTES else vectors
+
+
 def _whiten(gram: np.ndarray) -> np.ndarray:
     """Matrix that makes the columns orthonormal; directions without weight are left out."""
     values, vectors = np.linalg.eigh(gram)
@@ -72,25 +80,27 @@ def _whiten(gram: np.ndarray) -> np.ndarray:
     return vectors[:, keep] / np.sqrt(values[keep])
 
 
-def svd_factors(scores: DataFrame, k: int = 16, oversample: int = 10, iterations: int = 6, seed: int = 42
+def svd_factors(scores: DataFrame, k: int = 16, oversample: int = 10, iterations: int = 5, seed: int = 42
                 ) -> tuple[DataFrame, DataFrame]:
     """(user vectors U·Σ, title vectors V) of the best rank-k approximation.
 
-    Randomized subspace iteration: every pass is two joins with partial sums;
-    the driver only sees matrices of (k + oversample)² numbers.
+    Randomized subspace iteration. Scores are laid out by user once; while the
+    title vectors are small enough to broadcast, a pass sums user vectors in
+    place and shuffles only partial sums per title. The driver only sees
+    matrices of (k + oversample)² numbers.
     """
-    scores = scores.select("user_id", "content_id", "score")
+    scores = cut_lineage(scores.select("user_id", "content_id", "score").repartition("user_id"))
     size = scores.agg(F.countDistinct("content_id").alias("i"), F.countDistinct("user_id").alias("u")).first()
     k = max(min(k, size["i"] - 1, size["u"] - 1), 2)
     width = min(k + oversample, size["i"], size["u"])
     start = F.array(*[F.xxhash64("content_id", F.lit(seed * 1000 + j)) / F.lit(2.0**63) for j in range(width)])
     basis = scores.select("content_id").distinct().select("content_id", start.alias("vec"))
     for _ in range(iterations):
-        users = _spread(scores, basis, "content_id", "user_id", width)
+        users = _spread(scores, _sent(basis, size["i"], width), "content_id", "user_id", width)
         items = cut_lineage(_spread(scores, users, "user_id", "content_id", width))
         turn = _whiten(_gram(items, width))
         basis, width = _times(items, turn, "content_id"), turn.shape[1]
-    users = cut_lineage(_spread(scores, basis, "content_id", "user_id", width))
+    users = cut_lineage(_spread(scores, _sent(basis, size["i"], width), "content_id", "user_id", width))
     values, vectors = np.linalg.eigh(_gram(users, width))
     top = vectors[:, np.argsort(values)[::-1][:k]]
     return _times(users, top, "user_id"), _times(basis, top, "content_id")
@@ -98,6 +108,7 @@ def svd_factors(scores: DataFrame, k: int = 16, oversample: int = 10, iterations
 
 def svd_recommend(scores: DataFrame, k: int = 16, top: int = 10, **options) -> DataFrame:
     """Top unseen titles per user by the rank-k scores."""
+    scores = cut_lineage(scores)
     users, items = svd_factors(scores, k, **options)
     best = block_top_k(users, items, top, "user_id", "content_id", exclude=scores, metric="dot")
     return best.select("user_id", "content_id", round_half_up(F.col("score"), 4).alias("cf_score"), "rank")
@@ -107,6 +118,7 @@ def als_recommend(scores: DataFrame, rank: int = 16, top: int = 10, seed: int =
     """The same from implicit-feedback ALS; ids are numbered by the distributed indexer."""
     from pyspark.ml.recommendation import ALS
 
+    scores = cut_lineage(scores)
     users = _numbered(scores, "user_id")
     items = _numbered(scores, "content_id")
     coded = scores.join(users, "user_id").join(items, "content_id")

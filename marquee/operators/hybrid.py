@@ -26,18 +26,21 @@ def merge_candidates(left: DataFrame, right: DataFrame, keys: list[str], w_left:
                      labels: tuple[str, str, str], step_round: bool = False) -> DataFrame:
     """Full outer merge of two scored sets (keys, ``score``) with weights and a label by presence.
 
-    ``step_round`` rounds each side before adding instead of the sum.
+    ``step_round`` rounds each side before adding instead of the sum. Other
+    columns of either side are carried along; their names must differ.
     """
     part = (lambda c, w: round_half_up(c * w, 4)) if step_round else (lambda c, w: c * w)
-    a = left.select(*keys, part(F.col("score"), w_left).alias("_a"))
-    b = right.select(*keys, part(F.col("score"), w_right).alias("_b"))
+    a = left.withColumn("_a", part(F.col("score"), w_left)).drop("score")
+    b = right.withColumn("_b", part(F.col("score"), w_right)).drop("score")
+    carried = [c for c in a.columns + b.columns if c not in (*keys, "_a", "_b")]
     total = F.coalesce("_a", F.lit(0.0)) + F.coalesce("_b", F.lit(0.0))
     label = (
         F.when(F.col("_b").isNull(), F.lit(labels[0]))
         .when(F.col("_a").isNull(), F.lit(labels[1]))
         .otherwise(F.lit(labels[2]))
     )
-    return a.join(b, keys, "full").select(*keys, round_half_up(total, 4).alias("score"), label.alias("strategy"))
+    return a.join(b, keys, "full").select(
+        *keys, *carried, round_half_up(total, 4).alias("score"), label.alias("strategy"))
 
 
 def item_hybrid(items: DataFrame, rules: DataFrame, sims: DataFrame, content: DataFrame, k: int = 8,
@@ -60,7 +63,7 @@ def item_hybrid(items: DataFrame, rules: DataFrame, sims: DataFrame, content: Da
     best = top_k(merged, ["item_id"], [F.col("score").desc(), F.col("content_id")], k)
     info = content.select("content_id", "title", "release_year")
     return (
-        best.join(watched, keys, "left").join(similar, keys, "left").join(info, "content_id", "left")
+        best.join(info, "content_id", "left")
         .select("item_id", "content_id", "title", "release_year", F.coalesce("lift", F.lit(1.0)).alias("lift"),
                 F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
                 F.coalesce("semantic_score", F.lit(0.0)).alias("semantic_score"), "score", "strategy", "rank")
@@ -91,7 +94,8 @@ def personal_shelves(users: DataFrame, recent: DataFrame, cf: DataFrame, item_re
         "user_id", "content_id", "score", F.lit(CO_WATCH_ONLY).alias("strategy"), "rank")
     picks = cf.where(F.col("rank") <= k).join(users.select("user_id").distinct(), "user_id", "left_semi").select(
         "user_id", "content_id", F.col("cf_score").alias("score"), F.lit(CF_ONLY).alias("strategy"), "rank")
-    blend = merge_candidates(picks, near, ["user_id", "content_id"], 0.5, 0.5,
+    plain = ["user_id", "content_id", "score"]
+    blend = merge_candidates(picks.select(plain), near.select(plain), plain[:2], 0.5, 0.5,
                              (CF_ONLY, CO_WATCH_ONLY, CF_AND_CO_WATCH), step_round=True)
     blend = top_k(blend, ["user_id"], [F.col("score").desc(), F.col("content_id")], k)
     shelves = union_all([

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from marquee.functions.scalars import is_missing, round_half_up
 from marquee.operators.staging import top_k
+from marquee.session import cut_lineage
 
 
 def baskets(events: DataFrame, user: str = "user_id", item: str = "content_id") -> DataFrame:
@@ -24,8 +25,9 @@ def association_rules(pairs: DataFrame, min_support: float = 0.005, min_lift: fl
     (frequent items number at most mean basket size / min_support); its pairs
     are formed and counted inside the map task, and only counts are shuffled.
     """
-    total = pairs.select("user_id").distinct().agg(F.count(F.lit(1)).alias("n"))
-    need = F.lit(min_support) * total.scalar()
+    pairs = cut_lineage(pairs)  # read by three counts below
+    n = F.lit(float(pairs.select("user_id").distinct().count()))
+    need = F.lit(min_support) * n
     counts = pairs.groupBy("content_id").agg(F.count(F.lit(1)).alias("item_n")).where(F.col("item_n") >= need)
     kept = pairs.join(counts.select("content_id"), "content_id", "left_semi")
     lists = kept.groupBy("user_id").agg(F.sort_array(F.collect_list("content_id")).alias("items"))
@@ -33,7 +35,6 @@ def association_rules(pairs: DataFrame, min_support: float = 0.005, min_lift: fl
     rest = F.slice(F.col("items"), F.col("i") + 2, F.size("items"))
     both = firsts.select("a", F.explode(rest).alias("b"))
     joint = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("co")).where(F.col("co") >= need)
-    n = total.scalar()
     left = counts.select(F.col("content_id").alias("a"), F.col("item_n").alias("na"))
     right = counts.select(F.col("content_id").alias("b"), F.col("item_n").alias("nb"))
     lift = (F.col("co") / n) / ((F.col("na") / n) * (F.col("nb") / n))
