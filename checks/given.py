@@ -28,6 +28,10 @@ OPS = {"O": "c", "P": "u"}
 CATEGORY = {0: "STANDARD", 1: "ECONOMY", 2: "LARGE", 3: "MEDIUM", 4: "SMALL"}
 
 
+# schemas seen so far, so a file's footer is read for its schema once
+SCHEMAS: dict = {}
+
+
 class Given:
     """Lazy tables of one scale factor."""
 
@@ -36,7 +40,10 @@ class Given:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        path = f"{self.dir}/{name}.parquet"
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     @property
     def raw(self) -> DataFrame:

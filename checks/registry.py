@@ -16,6 +16,7 @@ from marquee.sources import events as sources, tables, upsert
 from marquee.streaming import monitors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+BUILDERS: dict[str, Callable[[Given], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
@@ -23,6 +24,7 @@ def check(name: str, sql: str | None = None):
     """Register a query; ``sql`` may mention the derived tables by name."""
 
     def add(build: Callable[[Given], DataFrame]):
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, sf_dir: finish(build(Given(spark, sf_dir)))
         if sql is not None:
             SQL[name] = with_tables(sql)
@@ -852,10 +854,13 @@ def _(g):
     return governance.apply_catalog(g.users, "users", "secret", kept).select("user_id", "email", "phone", "country_code")
 
 
+# the patterns as RE2 understands them
+NAME, DOMAIN = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+"
+
+
 def masked_sql(column: str) -> str:
-    name, dom = masking._NAME, "([A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+)"
-    out = f"regexp_replace({column}, '({name}){name}+({name})@{dom}', '\\1***\\2@\\3', 'g')"
-    out = f"regexp_replace({out}, '(^|[^A-Za-z0-9._%+*-])({name}){name}?@{dom}', '\\1\\2***@\\3', 'g')"
+    out = f"regexp_replace({column}, '({NAME}){NAME}+({NAME})@({DOMAIN})', '\\1***\\2@\\3', 'g')"
+    out = f"regexp_replace({out}, '(^|[^A-Za-z0-9._%+*-])({NAME}){NAME}?@({DOMAIN})', '\\1\\2***@\\3', 'g')"
     out = f"regexp_replace({out}, '{masking._IP_PARTS}', '\\1.\\2.x.x', 'g')"
     return f"regexp_replace({out}, '{masking._PHONE_PARTS}', '+91-XXXXX-\\1', 'g')"
 
@@ -867,7 +872,7 @@ def _(g):
 
 FINDS = " UNION ALL ".join(
     f"SELECT source, count(*) AS rows, '{k}' AS kind, CAST(sum(len(regexp_extract_all(text, '{p}'))) AS BIGINT) AS finds FROM documents GROUP BY source"
-    for k, p in (("email", masking.EMAIL_PATTERN), ("ip", masking.IP_PATTERN), ("phone", masking.PHONE_PATTERN)))
+    for k, p in (("email", f"{NAME}+@{DOMAIN}"), ("ip", masking.IP_PATTERN), ("phone", masking.PHONE_PATTERN)))
 
 
 @check("g06_pii_report", FINDS)

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.functions.masking import (
-    EMAIL_PATTERN, IP_PATTERN, PHONE_PATTERN, mask_email, mask_free_text, mask_ip, mask_phone, pseudonymize,
-)
+from marquee.functions.masking import count_finds, mask_email, mask_free_text, mask_ip, mask_phone, pseudonymize
 from marquee.functions.scalars import as_time, shift
 from marquee.operators.staging import apply_ttl, union_all
 
@@ -57,8 +55,8 @@ def mask_text(df: DataFrame, column: str, country_code: str = "91") -> DataFrame
 
 def pii_report(df: DataFrame, column: str, by: str) -> DataFrame:
     """Number of personal-data finds by kind and group; texts are never collected."""
-    kinds = {"email": EMAIL_PATTERN, "ip": IP_PATTERN, "phone": PHONE_PATTERN}
-    counts = [F.sum(F.regexp_count(F.col(column), F.lit(p))).alias(k) for k, p in kinds.items()]
+    kinds = count_finds(F.col(column))
+    counts = [F.sum(c).alias(k) for k, c in kinds.items()]
     rows = df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), *counts)
     pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("bigint").alias("finds")) for k in kinds])
     return rows.select(by, "rows", F.explode(pairs).alias("p")).select(by, "rows", "p.kind", "p.finds")

@@ -29,17 +29,22 @@ def association_rules(pairs: DataFrame, min_support: float = 0.005, min_lift: fl
     n = F.lit(float(pairs.select("user_id").distinct().count()))
     need = F.lit(min_support) * n
     counts = pairs.groupBy("content_id").agg(F.count(F.lit(1)).alias("item_n")).where(F.col("item_n") >= need)
-    kept = pairs.join(counts.select("content_id"), "content_id", "left_semi")
-    lists = kept.groupBy("user_id").agg(F.sort_array(F.collect_list("content_id")).alias("items"))
-    firsts = lists.select("items", F.posexplode("items").alias("i", "a"))
+    # frequent items are few: number them, so pairs are two ints while counting
+    numbered = counts.withColumn("code", F.row_number().over(Window.orderBy(F.col("item_n").desc(), "content_id")))
+    kept = pairs.join(numbered.select("content_id", "code"), "content_id")
+    lists = kept.groupBy("user_id").agg(F.sort_array(F.collect_list("code")).alias("items"))
+    firsts = lists.select("items", F.posexplode("items").alias("i", "x"))
     rest = F.slice(F.col("items"), F.col("i") + 2, F.size("items"))
-    both = firsts.select("a", F.explode(rest).alias("b"))
-    joint = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("co")).where(F.col("co") >= need)
-    left = counts.select(F.col("content_id").alias("a"), F.col("item_n").alias("na"))
-    right = counts.select(F.col("content_id").alias("b"), F.col("item_n").alias("nb"))
+    both = firsts.select("x", F.explode(rest).alias("y"))
+    joint = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("co")).where(F.col("co") >= need)
+    named = lambda code, item, n: numbered.select(F.col("code").alias(code), F.col("content_id").alias(item), F.col("item_n").alias(n))
+    strong = joint.join(named("x", "p", "np"), "x").join(named("y", "q", "nq"), "y")
+    # the same order of items as in their names, so lift is one number for both directions
+    swap = F.col("p") > F.col("q")
+    either = lambda yes, no: F.when(swap, F.col(yes)).otherwise(F.col(no))
+    strong = strong.select("co", either("q", "p").alias("a"), either("p", "q").alias("b"), either("nq", "np").alias("na"), either("np", "nq").alias("nb"))
     lift = (F.col("co") / n) / ((F.col("na") / n) * (F.col("nb") / n))
-    strong = joint.join(left, "a").join(right, "b").withColumns({"lift": lift, "support": F.col("co") / n})
-    strong = strong.where(F.col("lift") >= min_lift)
+    strong = strong.withColumns({"lift": lift, "support": F.col("co") / n}).where(F.col("lift") >= min_lift)
     # each unordered pair gives two rules; confidence depends on the antecedent
     directions = F.array(
         F.struct(F.col("a").alias("x"), F.col("b").alias("y"), F.col("na").alias("nx")),

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # recording a call site for every column expression doubles the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
