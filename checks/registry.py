@@ -1056,7 +1056,7 @@ def _(g):
         "label", F.col("q.chunk_id").alias("query_id"), "q.vec")
     hits = vector.knn(first, g.chunks, 10).join(first.select("query_id", "label"), "query_id").join(g.chunks.select("chunk_id", "content_id"), "chunk_id")
     themed = hits.select(theme.alias("theme"), "content_id", F.concat(F.lit("genre_"), F.col("label").cast("string")).alias("genre"), "similarity_score", "rank")
-    out = hybrid.themed_recommendations(g.users, churn, themed)
+    out = hybrid.themed_recommendations(g.users, churn, themed, k=10)
     return out.select("user_id", "theme", "watch_minutes_30d", "completion_rate", "content_id", "similarity_score", "rank",
                       F.regexp_extract("explain_reason", "in (\\S+) with", 1).alias("reason_genre"),
                       F.regexp_extract("explain_reason", "with (-?\\d+)%", 1).cast("bigint").alias("reason_match"))

@@ -108,11 +108,14 @@ def personal_shelves(users: DataFrame, recent: DataFrame, cf: DataFrame, item_re
 
 
 def themed_recommendations(users: DataFrame, features: DataFrame, theme_hits: DataFrame,
-                           known_theme: str = KNOWN_THEME, new_theme: str = NEW_THEME) -> DataFrame:
-    """Hits of the theme that fits each user's profile, with a reason.
+                           known_theme: str = KNOWN_THEME, new_theme: str = NEW_THEME, k: int = 6) -> DataFrame:
+    """The first ``k`` hits of the theme that fits each user's profile, with a reason.
 
     theme_hits: theme, content_id, genre, similarity_score, rank.
     """
+    # at most k hits of each of two themes, so sending them everywhere is safe
+    wanted = F.col("theme").isin(known_theme, new_theme) & (F.col("rank") <= k)
+    hits = F.broadcast(theme_hits.where(wanted))
     profile = features.select("user_id", F.col("genre_watch_minutes_30d").alias("_m"), F.col("content_completion_rate").alias("_c"))
     known = F.col("_m").isNotNull()
     base = users.select("user_id").join(profile, "user_id", "left").select(
@@ -123,6 +126,6 @@ def themed_recommendations(users: DataFrame, features: DataFrame, theme_hits: Da
     reason = F.concat(
         F.lit("Recommended based on your "), F.col("watch_minutes_30d").cast("string"), F.lit("m watch history in "),
         F.col("genre"), F.lit(" with "), share.cast("string"), F.lit("% vector match."))
-    return base.join(theme_hits, "theme").select(
+    return base.join(hits, "theme").select(
         "user_id", "theme", "watch_minutes_30d", "completion_rate", "content_id", "similarity_score", "rank",
         reason.alias("explain_reason"))

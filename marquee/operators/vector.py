@@ -96,6 +96,7 @@ def block_top_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_i
         F.ceil(n / F.lit(block_rows)), F.least(F.ceil(n / F.lit(256)), F.lit(most))).cast("int")
     grid = n_left.join(n_right, key).select(
         key, blocks(F.col("_nl"), spread if bucket is None else 1).alias("_lb"), blocks(F.col("_nr"), 1).alias("_rb"))
+    grid = F.broadcast(grid)  # one row per bucket: a single one, or the number of lists
     place = lambda c, n: F.pmod(F.xxhash64(F.col(c)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     nothing = F.lit(None).cast(right.schema[right_id].dataType)

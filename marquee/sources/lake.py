@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.functions.scalars import as_time, category_of, partition_time
-from marquee.sources.upsert import _exists, overwrite_partitions, upsert_path
+from marquee.functions.scalars import category_of, partition_time
+from marquee.operators.staging import event_instant
+from marquee.sources.upsert import exists, file_system, overwrite_partitions, upsert_path
 
 LAKE_PARTITIONS = ["category", "date", "hour"]
 # hour of the categories that are filed by day only
@@ -14,8 +17,6 @@ NO_HOUR = "all"
 
 def lake_columns(df: DataFrame, as_of, topic: str = "topic") -> DataFrame:
     """Add category, date and hour; only playback is filed by the hour."""
-    from marquee.operators.staging import event_instant
-
     event, arrival = event_instant(df, "event_time"), event_instant(df, "ingestion_time")
     when = partition_time(event, arrival, as_of)
     category = category_of(F.col(topic))
@@ -78,20 +79,26 @@ def sorted_playback(events: DataFrame, root: str) -> None:
      .write.mode("append").partitionBy("month").parquet(root))
 
 
-def drop_expired(spark: SparkSession, root: str, partition: str, days: int, as_of) -> list[str]:
-    """Delete the day folders older than the retention; returns their names."""
-    names = [r[0] for r in spark.read.parquet(root).select(F.col(partition).cast("string")).distinct().where(
-        F.col(partition).cast("date") < F.date_sub(as_time(as_of).cast("date"), days)).collect()]
-    jvm = spark.sparkContext._jvm
-    for name in names:
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{partition}={name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return sorted(names)
+def drop_expired(spark: SparkSession, root: str, partition: str, days: int, as_of: str) -> list[str]:
+    """Delete the day folders older than the retention; returns their names.
+
+    Works on folder names alone: no data file is opened.
+    """
+    oldest = date.fromisoformat(as_of[:10]) - timedelta(days=days)
+    path, fs = file_system(spark, root)
+    gone = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{partition}="):
+            value = name.partition("=")[2]
+            if date.fromisoformat(value) < oldest and fs.delete(status.getPath(), True):
+                gone.append(value)
+    return sorted(gone)
 
 
 def compact(spark: SparkSession, root: str, partition: dict[str, str], partitions: list[str], target_files: int) -> None:
     """Rewrite the small files of one partition as ``target_files`` larger ones."""
-    if not _exists(spark, root):
+    if not exists(spark, root):
         raise FileNotFoundError(root)
     df = spark.read.parquet(root)
     for column, value in partition.items():

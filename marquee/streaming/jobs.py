@@ -15,7 +15,7 @@ from marquee.operators.sessions import (
 from marquee.operators.staging import event_instant, split_valid, stg_playback_events, to_dlq, validate_events
 from marquee.sources.contracts import CONTRACTS
 from marquee.sources.lake import LAKE_PARTITIONS, lake_columns
-from marquee.sources.upsert import _exists, overwrite_partitions
+from marquee.sources.upsert import exists, overwrite_partitions
 from marquee.streaming.sinks import BATCH, foreach_batch_sink, write_batch
 
 LATENESS = "30 seconds"
@@ -98,7 +98,7 @@ def late_flag_sink(root: str, lateness_seconds: float, order_col: str, scope: li
         batch.persist()
         try:
             marks = None
-            if _exists(spark, path):
+            if exists(spark, path):
                 past = spark.read.parquet(path).where(F.col(BATCH) < batch_id)
                 marks = past.groupBy(*scope).agg(F.max("high_mark").alias("high_mark"))
             high = batch.groupBy(*scope).agg(F.max("event_time").alias("high_mark"))

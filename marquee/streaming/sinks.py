@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators.rollups import rollup_merge, rollup_partial
-from marquee.sources.upsert import _exists, upsert_path
+from marquee.sources.upsert import apply_changes_path, exists, upsert_path
 
 BATCH = "batch_id"
 
@@ -41,6 +41,15 @@ def upsert_sink(path: str, keys: list[str], partitions: list[str]) -> Callable[[
     return sink
 
 
+def changes_sink(path: str, keys: list[str], version: list[str], op: str = "op") -> Callable[[DataFrame, int], None]:
+    """Apply every batch of a change feed to a table."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        apply_changes_path(batch.sparkSession, path, batch, keys, version, op)
+
+    return sink
+
+
 def rollup_sink(grain: str, path: str) -> Callable[[DataFrame, int], None]:
     """Partial rollup state of every batch; late events simply join a later state."""
 
@@ -56,4 +65,4 @@ def read_rollup(spark: SparkSession, grain: str, path: str) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path).drop(BATCH) if _exists(spark, path) else None
+    return spark.read.parquet(path).drop(BATCH) if exists(spark, path) else None

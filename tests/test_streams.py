@@ -10,7 +10,6 @@ from marquee.operators import rollups, sessions
 from marquee.operators.staging import stg_playback_events
 from marquee.sources.events import decode_json, read_event_stream
 from marquee.sources.lake import read_lake
-from marquee.sources.upsert import upsert_path
 from marquee.streaming import jobs, sinks
 from tests.fixtures import AS_OF, as_json, at, content_df, event, events_df
 
@@ -196,6 +195,19 @@ def test_upsert_sink_keeps_newest(spark, tmp_path, rows):
     assert rows(spark.read.parquet(str(tmp_path / "t")), "k", "v") == [(1, 1), (2, 2), (3, 1), (4, 2)]
 
 
+def test_change_feed_stream(spark, tmp_path, rows):
+    from marquee.sources.upsert import read_changed
+
+    path = str(tmp_path / "t")
+    sink = sinks.changes_sink(path, ["k"], ["v"])
+    make = lambda data: spark.createDataFrame(data, "k int, name string, v bigint, op string")
+    first = make([(1, "a", 1, "c"), (2, "b", 2, "c"), (1, "a2", 5, "u")])
+    sink(first, 0)
+    sink(make([(2, None, 6, "d"), (3, "c", 7, "c")]), 1)
+    sink(first, 2)  # old changes again: the deleted key stays deleted
+    assert rows(read_changed(spark, path)) == [(1, "a2", 5), (3, "c", 7)]
+
+
 def test_trigger_and_timeout(spark, tmp_path):
     assert jobs.trigger() == {"processingTime": "2 seconds"}
     assert jobs.trigger(available_now=True) == {"availableNow": True}
@@ -210,4 +222,3 @@ def test_batch_equals_stream_decode(spark, rows):
     got = decode_json(lines, "playback")
     assert rows(got.where("_corrupt_record is not null"), "_corrupt_record") == [("",), ("[1]",), ("nope",)]
     assert stg_playback_events(jobs.typed(got), AS_OF).count() == 1
-    assert upsert_path  # imported for the sinks above
