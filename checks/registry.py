@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks import streams
 from checks.given import AS_OF, Given, finish
 from checks.sql import AS_OF as NOW, DEVICE, EV, PLAY_TYPES, completion, minute, rnd, units, with_tables, xavg, xsum
 from marquee.functions import masking, scalars, vectors
 from marquee.operators import factors, governance, hybrid, quality, rollups, rules, sessions, staging, text, vector
 from marquee.plans import daily, marts
-from marquee.session import cut_lineage
+from marquee.session import cut_lineage, scratch_path
 from marquee.sources import events as sources, tables, upsert
-from marquee.streaming import monitors
+from marquee.streaming import jobs, monitors, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BUILDERS: dict[str, Callable[[Given], DataFrame]] = {}
@@ -470,16 +471,21 @@ def _(g):
     return rollups.platform_daily(g.raw)
 
 
-@check("a13_rollup_merge_hourly")
+def merged(g, grain):
+    """States of plays and of all other events, merged."""
+    play = F.col("event_type") == "video_play"
+    parts = [rollups.rollup_partial(g.raw.where(kind), grain) for kind in (play, ~play)]
+    return rollups.rollup_finish(rollups.rollup_merge(staging.union_all(parts), grain), grain)
+
+
+@check("a13_rollup_merge_hourly", HOURLY)
 def _(g):
-    parts = rollups.rollup_partial(g.raw, "content_hourly")
-    again = rollups.rollup_partial(g.events, "content_hourly")
-    return rollups.rollup_finish(rollups.rollup_merge(parts.unionByName(again), "content_hourly"), "content_hourly")
+    return merged(g, "content_hourly")
 
 
-@check("a13_rollup_merge_daily")
+@check("a13_rollup_merge_daily", PLATFORM)
 def _(g):
-    return rollups.rollup_finish(rollups.rollup_merge(rollups.rollup_partial(g.raw, "platform_daily"), "platform_daily"), "platform_daily")
+    return merged(g, "platform_daily")
 
 
 @check("a14_gold_content_daily", f"""
@@ -686,6 +692,84 @@ def _(g):
     return sessions.tumbling_metrics(g.events)
 
 
+# the streams themselves, run until the table is used up
+
+@check("t01_stream_events", """
+    SELECT r.event_id, r.content_id, content_title, r.event_time < max(r.event_time) OVER (PARTITION BY source_partition ORDER BY r.event_id ROWS UNBOUNDED PRECEDING) - INTERVAL 30 SECOND AS is_late FROM rich r""")
+def _(g):
+    return streams.playback(g, "events").select("event_id", "content_id", "content_title", "is_late")
+
+
+@check("t02_stream_dead_letters", f"""
+    SELECT failure_reason, count(*) AS n FROM (SELECT {REASON} AS failure_reason FROM raw) WHERE failure_reason IS NOT NULL GROUP BY failure_reason""")
+def _(g):
+    dead = streams.playback(g, "dead_letters")
+    # the text of a time drops trailing zeros; write all six digits as the SQL does
+    when = F.regexp_extract("failure_reason", r"future: (.*)$", 1)
+    full = F.concat(F.lit("Event timestamp is too far in future: "), quality.stamp(F.try_to_timestamp(when)))
+    return dead.select(F.when(when != "", full).otherwise(F.col("failure_reason")).alias("failure_reason")).groupBy("failure_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check("t03_stream_dedup", "SELECT event_id, user_id, event_time FROM stg")
+def _(g):
+    root = scratch_path(g.spark, "dedup")
+    ok, _ = jobs.stream_split(streams.Streamed(g, "events").raw, AS_OF)
+    streams.run_to_end(jobs.stream_dedup(ok), sinks.foreach_batch_sink({"t": lambda d: d}, root))
+    return sinks.read_batches(g.spark, f"{root}/t").select("event_id", "user_id", "event_time")
+
+
+CLOSED = "(SELECT max(event_time) - INTERVAL 30 SECOND FROM stg)"
+
+
+@check("t05_stream_sessions", f"""
+    SELECT user_id, session_id, min(event_time) AS segment_start, {xsum("CASE WHEN event_type = 'video_play' THEN playback_seconds ELSE 0.0e0 END")} AS watch_seconds,
+      count(*) FILTER (WHERE event_type = 'video_pause') AS pause_count, count(*) FILTER (WHERE event_type = 'video_seek') AS seek_count, max(event_time) AS session_end
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS segment FROM (
+      SELECT *, CASE WHEN event_time > lag(event_time) OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS opens FROM stg))
+    GROUP BY user_id, session_id, segment HAVING max(event_time) + INTERVAL 30 MINUTE <= {CLOSED}""")
+def _(g):
+    units = F.col("watch_units") / F.lit(scalars.UNITS_PER_SECOND)
+    return streams.playback(g, "sessions").select(
+        "user_id", "session_id", "segment_start", units.alias("watch_seconds"), "pause_count", "seek_count", "session_end")
+
+
+@check("t06_stream_windows", f"SELECT * FROM ({TUMBLING}) WHERE window_end <= {CLOSED}")
+def _(g):
+    return streams.playback(g, "windows")
+
+
+@check("t07_stream_content_hourly", f"SELECT * FROM ({HOURLY}) WHERE window_hour + INTERVAL 1 HOUR <= (SELECT max(event_time) - INTERVAL 30 SECOND FROM raw)")
+def _(g):
+    return streams.windowed_rollup(g, "content_hourly")
+
+
+@check("t07_rollup_states", HOURLY)
+def _(g):
+    return streams.rolled_up(g, "content_hourly")
+
+
+@check("t08_stream_platform_daily", f"SELECT * FROM ({PLATFORM}) WHERE metric_date + INTERVAL 1 DAY <= (SELECT max(event_time) - INTERVAL 30 SECOND FROM raw)")
+def _(g):
+    return streams.windowed_rollup(g, "platform_daily")
+
+
+@check("t08_rollup_states", PLATFORM)
+def _(g):
+    return streams.rolled_up(g, "platform_daily")
+
+
+@check("t09_stream_archive", "SELECT event_id, ingestion_time, 'playback' AS category, strftime(event_time, '%Y-%m-%d') AS date, strftime(event_time, '%H') AS hour FROM raw")
+def _(g):
+    return streams.archived(g)
+
+
+@check("s14_stream_changes", """
+    SELECT user_id, plan_id, status, updated_at, subscription_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, subscription_id DESC) AS rn FROM subs) WHERE rn = 1 AND op <> 'd'""")
+def _(g):
+    return streams.changed(g)
+
+
 DLQ_WINDOWS = """SELECT w AS window_start, count(*) FILTER (WHERE bad) AS dead, count(*) AS total FROM (
       SELECT failure_reason IS NOT NULL AS bad, unnest(range(0, 5)) AS i, date_trunc('minute', ingestion_time) - to_minutes(i) AS w FROM (%s)) GROUP BY w""" % DEAD
 

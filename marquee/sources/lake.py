@@ -27,15 +27,14 @@ def lake_columns(df: DataFrame, as_of, topic: str = "topic") -> DataFrame:
     })
 
 
-def write_lake(df: DataFrame, root: str, as_of, topic: str = "topic", salts: int = 8) -> None:
+def write_lake(df: DataFrame, root: str, as_of, topic: str = "topic") -> None:
     """Append to the archive.
 
-    Rows of one partition meet in ``salts`` tasks, which bounds the number of
-    files without sending a busy hour through a single task.
+    The rebalance hint brings the rows of one folder together and splits the
+    folders of busy hours, so files are neither tiny nor written by one task.
     """
     filed = lake_columns(df, as_of, topic)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-    (filed.repartition(*LAKE_PARTITIONS, salt).write.mode("append").partitionBy(*LAKE_PARTITIONS)
+    (filed.hint("rebalance", *LAKE_PARTITIONS).write.mode("append").partitionBy(*LAKE_PARTITIONS)
      .option("compression", "snappy").parquet(root))
 
 
@@ -54,8 +53,7 @@ def write_bronze(events: DataFrame, root: str) -> None:
     """Raw events by day and hour."""
     ts = F.col("event_time")
     rows = events.withColumns({"event_day": F.to_date(ts), "event_hour": F.hour(ts)})
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(8))
-    (rows.repartition("event_day", "event_hour", salt).write.mode("append").option("compression", "zstd")
+    (rows.hint("rebalance", "event_day", "event_hour").write.mode("append").option("compression", "zstd")
      .partitionBy("event_day", "event_hour").parquet(root))
 
 
@@ -74,8 +72,7 @@ def write_gold(mart: DataFrame, root: str) -> None:
 def sorted_playback(events: DataFrame, root: str) -> None:
     """Raw playback table by month, sorted for min/max skipping on type, user and time."""
     rows = events.withColumn("month", F.date_format("event_time", "yyyyMM"))
-    salt = F.pmod(F.xxhash64("user_id"), F.lit(64))
-    (rows.repartition("month", salt).sortWithinPartitions("month", "event_type", "user_id", "event_time")
+    (rows.hint("rebalance", "month").sortWithinPartitions("month", "event_type", "user_id", "event_time")
      .write.mode("append").partitionBy("month").parquet(root))
 
 

@@ -22,6 +22,10 @@ def foreach_batch_sink(tables: dict[str, Callable[[DataFrame], DataFrame]], root
     """One source batch into several tables below ``root``, each by its own function."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if len(tables) == 1:  # read once only, so nothing to keep
+            for name, make in tables.items():
+                write_batch(make(batch), batch_id, f"{root}/{name}")
+            return
         batch.persist()
         try:
             for name, make in tables.items():
