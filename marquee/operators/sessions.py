@@ -136,7 +136,10 @@ def late_flag(df: DataFrame, order_col: str, lateness_seconds: float = 30.0, sco
         .select(*scope, "_chunk", F.greatest("_cprev", "_bprev").alias("_prev"))
     )
     if start is not None:
-        given = prefix.join(start, scope, "left") if scope else prefix.join(start)
+        if scope:
+            given = prefix.join(start, scope, "left")
+        else:
+            given = prefix.withColumn("high_mark", start.agg(F.max("high_mark")).scalar())
         prefix = given.withColumn("_prev", F.greatest("_prev", "high_mark")).drop("high_mark")
     inside = Window.partitionBy(*scope, "_chunk").orderBy(order_col, ts).rowsBetween(Window.unboundedPreceding, 0)
     seen = F.greatest(F.max(ts).over(inside), F.col("_prev"))

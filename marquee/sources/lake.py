@@ -76,6 +76,17 @@ def sorted_playback(events: DataFrame, root: str) -> None:
      .write.mode("append").partitionBy("month").parquet(root))
 
 
+def read_playback(spark: SparkSession, root: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Events of a time span from :func:`sorted_playback`; the span also prunes months."""
+    df = spark.read.parquet(root)
+    month = F.col("month").cast("string")
+    if since is not None:
+        df = df.where((F.col("event_time") >= F.lit(since).cast("timestamp")) & (month >= since[:7].replace("-", "")))
+    if until is not None:
+        df = df.where((F.col("event_time") < F.lit(until).cast("timestamp")) & (month <= until[:7].replace("-", "")))
+    return df.drop("month")
+
+
 def drop_expired(spark: SparkSession, root: str, partition: str, days: int, as_of: str) -> list[str]:
     """Delete the day folders older than the retention; returns their names.
 

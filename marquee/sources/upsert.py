@@ -34,6 +34,16 @@ def insert_ignore(target: DataFrame, src: DataFrame, keys: list[str]) -> DataFra
     return target.unionByName(latest_by_key(fresh, keys, []))
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Cache rows that are read several times.
+
+    A micro-batch out of a session window claims an order by columns its plan no
+    longer has, and caching such a plan fails; sorting each partition by a
+    column it does have replaces that claim.
+    """
+    return df.sortWithinPartitions(df.columns[0]).persist()
+
+
 def upsert_path(spark: SparkSession, path: str, src: DataFrame, keys: list[str], partitions: list[str],
                 schema=None) -> None:
     """Upsert into Parquet, rewriting only the partitions ``src`` touches.
@@ -41,7 +51,7 @@ def upsert_path(spark: SparkSession, path: str, src: DataFrame, keys: list[str],
     A key must stay in its partition. The dynamic overwrite is staged by the
     committer, so a failed job leaves the old partitions in place.
     """
-    src = src.persist()
+    src = kept(src)
     try:
         if exists(spark, path):
             reader = spark.read.schema(schema or src.schema)
@@ -80,7 +90,8 @@ def apply_changes_path(spark: SparkSession, path: str, changes: DataFrame, keys:
     again or out of order cannot bring them back. Read with :func:`read_changed`.
     """
     marked = changes.withColumn(DELETED, F.col(op) == "d").drop(op)
-    new = marked.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+    new = marked.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    new = kept(new)
     try:
         rows = new
         if exists(spark, path):

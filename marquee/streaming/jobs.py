@@ -15,7 +15,7 @@ from marquee.operators.sessions import (
 from marquee.operators.staging import event_instant, split_valid, stg_playback_events, to_dlq, validate_events
 from marquee.sources.contracts import CONTRACTS
 from marquee.sources.lake import LAKE_PARTITIONS, lake_columns
-from marquee.sources.upsert import exists, overwrite_partitions
+from marquee.sources.upsert import exists, kept, overwrite_partitions
 from marquee.streaming.sinks import BATCH, foreach_batch_sink, write_batch
 
 LATENESS = "30 seconds"
@@ -95,7 +95,7 @@ def late_flag_sink(root: str, lateness_seconds: float, order_col: str, scope: li
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
+        batch = kept(batch)
         try:
             marks = None
             if exists(spark, path):

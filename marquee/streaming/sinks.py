@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators.rollups import rollup_merge, rollup_partial
-from marquee.sources.upsert import apply_changes_path, exists, upsert_path
+from marquee.sources.upsert import apply_changes_path, exists, kept, upsert_path
 
 BATCH = "batch_id"
 
@@ -26,7 +26,7 @@ def foreach_batch_sink(tables: dict[str, Callable[[DataFrame], DataFrame]], root
             for name, make in tables.items():
                 write_batch(make(batch), batch_id, f"{root}/{name}")
             return
-        batch.persist()
+        batch = kept(batch)
         try:
             for name, make in tables.items():
                 write_batch(make(batch), batch_id, f"{root}/{name}")

@@ -195,6 +195,27 @@ def test_upsert_sink_keeps_newest(spark, tmp_path, rows):
     assert rows(spark.read.parquet(str(tmp_path / "t")), "k", "v") == [(1, 1), (2, 2), (3, 1), (4, 2)]
 
 
+def test_session_segments_upserted(spark, tmp_path, rows):
+    """Segments of a stateful stream kept by key, in two tables at once and after a repeated batch."""
+    src = str(tmp_path / "src")
+    put(src, "1.txt", [as_json(event("a", play=10.0)), as_json(event("b", user="u2", session="s2", play=5.0, time="2024-03-01 10:01:00"))])
+    put(src, "2.txt", [as_json(event("z", user="z", session="z", time="2024-03-01 15:00:00"))])
+    stream = jobs.typed(source(spark, src)).withColumn("user_id", F.concat(F.lit("x"), "user_id")).withWatermark("event_time", "30 seconds")
+    segments = jobs.stream_sessions(stream, content_df(spark), "10 minutes").withColumn("day", F.to_date("session_start"))
+    keep = sinks.upsert_sink(str(tmp_path / "t"), ["user_id", "session_id", "segment_start"], ["day"])
+    two = sinks.foreach_batch_sink({"all": lambda d: d, "users": lambda d: d.select("user_id")}, str(tmp_path / "two"))
+
+    def sink(batch, batch_id):
+        keep(batch, batch_id)
+        keep(batch, batch_id)
+        two(batch, batch_id)
+
+    finish(segments.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "c")).trigger(**NOW).start())
+    done = jobs.merge_segments(spark.read.parquet(str(tmp_path / "t")))
+    assert rows(done, "user_id", "watch_seconds") == [("xu1", 10.0), ("xu2", 5.0)]
+    assert rows(sinks.read_batches(spark, str(tmp_path / "two/users"))) == [("xu1",), ("xu2",)]
+
+
 def test_change_feed_stream(spark, tmp_path, rows):
     from marquee.sources.upsert import read_changed
 
