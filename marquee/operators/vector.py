@@ -87,30 +87,36 @@ def block_top_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_i
     spark = left.sparkSession
     spread = min_blocks or spark.sparkContext.defaultParallelism
     key = bucket or "_b"
-    if bucket is None:
-        left, right = left.withColumn(key, F.lit(0)), right.withColumn(key, F.lit(0))
-    # blocks per bucket; small inputs are still cut fine enough to use all cores
-    n_left = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
-    n_right = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
+    # fresh column ids, so both sides may come from one DataFrame
+    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])
+    left, right = fresh(left), fresh(right)
+    # block counts; small inputs are still cut fine enough to use all cores
     blocks = lambda n, most: F.greatest(
-        F.ceil(n / F.lit(block_rows)), F.least(F.ceil(n / F.lit(256)), F.lit(most))).cast("int")
-    grid = n_left.join(n_right, key).select(
-        key, blocks(F.col("_nl"), spread if bucket is None else 1).alias("_lb"), blocks(F.col("_nr"), 1).alias("_rb"))
-    grid = F.broadcast(grid)  # one row per bucket: a single one, or the number of lists
+        F.ceil(n / F.lit(block_rows)), F.least(F.ceil(n / F.lit(256)), F.lit(most)), F.lit(1)).cast("int")
+    count = F.count(F.lit(1))
+    if bucket is None:
+        sizes = {key: F.lit(0), "_lb": blocks(left.agg(count).scalar(), spread), "_rb": blocks(right.agg(count).scalar(), 1)}
+        sized = lambda df: df.withColumns(sizes)
+    else:
+        n_left = left.groupBy(key).agg(count.alias("_nl"))
+        n_right = right.groupBy(key).agg(count.alias("_nr"))
+        grid = n_left.join(n_right, key).select(key, blocks(F.col("_nl"), 1).alias("_lb"), blocks(F.col("_nr"), 1).alias("_rb"))
+        # one row per list, and lists are few
+        sized = lambda df: df.join(F.broadcast(grid), key)
     place = lambda c, n: F.pmod(F.xxhash64(F.col(c)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     nothing = F.lit(None).cast(right.schema[right_id].dataType)
     no_vec = F.lit(None).cast(left.schema["vec"].dataType)
-    lefts = left.join(grid, key).select(
+    lefts = sized(left).select(
         key, place(left_id, "_lb").alias("_l"), every("_rb").alias("_r"), left_id, "vec", nothing.alias("_not"))
     if exclude is not None:
         if bucket is not None:
             raise ValueError("exclude works without bucket only")
-        gone = exclude.select(left_id, right_id).withColumn(key, F.lit(0)).join(grid, key).select(
+        gone = sized(fresh(exclude.select(left_id, right_id))).select(
             key, place(left_id, "_lb").alias("_l"), place(right_id, "_rb").alias("_r"), left_id,
             no_vec.alias("vec"), F.col(right_id).alias("_not"))
         lefts = lefts.unionByName(gone)
-    rights = right.join(grid, key).select(
+    rights = sized(right).select(
         key, place(right_id, "_rb").alias("_r"), every("_lb").alias("_l"), right_id, "vec")
     schema = StructType([
         StructField(left_id, left.schema[left_id].dataType), StructField(right_id, right.schema[right_id].dataType),
