@@ -37,11 +37,11 @@ def run_to_end(df: DataFrame, sink, mode: str = "append") -> None:
 
 
 def playback(g: Given, table: str) -> DataFrame:
-    """One output of the whole playback stream."""
+    """One output of the playback stream."""
     root = scratch_path(g.spark, "playback")
     running = jobs.run_playback_stream(
         Streamed(g, "events").raw, g.content, root, scratch_path(g.spark, "checkpoint"), as_of=AS_OF,
-        order_col="event_id", scope=["source_partition"], **ONCE)
+        order_col="event_id", scope=["source_partition"], outputs=(table,), **ONCE)
     jobs.run_until(list(running.values()))
     return sinks.read_batches(g.spark, f"{root}/{table}")
 
