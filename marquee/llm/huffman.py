@@ -209,7 +209,7 @@ def write_ids(coded: DataFrame, root: str, doc_id: str = "doc_id", ids: str = "i
     sort = [F.col(doc_id).asc_nulls_first(), F.xxhash64(ids), F.col(ids)]
     keyed = coded.select(F.col(doc_id).cast("bigint").alias(doc_id), ids)
     files = map_batches(keyed.repartitionByRange(parts, F.col(doc_id).asc_nulls_first(), F.xxhash64(ids)).sortWithinPartitions(*sort),
-                        "file string, part int, piece int, documents bigint, ids bigint, bytes bigint", write)
+                        "file string, part bigint, piece bigint, documents bigint, ids bigint, bytes bigint", write)
     files = stage(files, "id-manifest")  # runs the writers once
     before = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)  # a row per file of some ten MB
     return files.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))

@@ -119,7 +119,7 @@ def write_warc(pages: DataFrame, root: str, date: str = "2024-01-01T00:00:00Z",
     order = [F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), F.col("digest")]
     parts = max(1, -(-total // PART_BYTES), min(16, total >> 20))
     made = map_batches(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order),
-                       "file string, part int, piece int, records bigint, bytes bigint", write)
+                       "file string, part bigint, piece bigint, records bigint, bytes bigint", write)
     return stage(made, "warc-manifest")  # runs the writers once
 
 
