@@ -6,11 +6,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, pseudonyms, quality
+from marquee.llm import bpe, neardup, postings, pseudonyms, quality
+from marquee.llm.common import stage, table
 
-DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 # A demonstration key, so that runs can be compared; set MARQUEE_PSEUDONYM_KEY for real data.
 PSEUDONYM_KEY = os.environ.get("MARQUEE_PSEUDONYM_KEY", "for tests only").encode()
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def vocabulary(name: str) -> str:
@@ -25,14 +26,45 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.quality_rules(docs).where("kept").select(*docs.columns)
 
 
+def keep_first_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Rows that repeat an id and its shingles are one document; only those are grouped by id.
+    """
+    found = stage(neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT), "near-duplicates")
+    keep = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
+    again = found.where("node IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id"))
+    if again.isEmpty():
+        return kept
+    same = kept["doc_id"].eqNullSafe(again["again_id"])
+    marked = neardup.shingled(kept.join(again, same, "left_semi"), SHINGLE_WORDS).join(
+        found.where("kept AND node IS NOT NULL").select("node").distinct(), "node", "left_semi")
+    return kept.join(again, same, "left_anti").unionByName(marked.dropDuplicates(["node"]).select(*docs.columns))
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of the benchmark."""
+    found = postings.contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    on = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_hash"])
+    return docs.join(stage(bad, "contaminated"), on, "left_anti")
+
+
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms in place of personal numbers; ``n_chars`` follows the text."""
     rows = pseudonyms.pseudonyms(docs, PSEUDONYM_KEY)
-    return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
+    return rows.select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their text, and whether the ids decode to the parts that were written."""
+    """The ids of every text, their number, and the text that the ids decode to."""
     path = vocabulary("word_bpe_49k.json")
     coded = bpe.bpe_decode(bpe.bpe_encode(docs, path), path)
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "decoded")
+
+
+STAGES = [("quality_rules", keep_quality), ("near_duplicates", keep_first_copy), ("decontamination", keep_uncontaminated),
+          ("pseudonyms", hide_private), ("bpe", encode)]
