@@ -46,9 +46,9 @@ def keep_first_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
     found = postings.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    bad = stage(found.where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(), "contaminated")
     on = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_hash"])
-    return docs.join(stage(bad, "contaminated"), on, "left_anti")
+    return docs.join(bad, on, "left_anti")
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, huffman, licenses, neardup, postings, pseudonyms, quality, warc
+from marquee.llm import bpe, huffman, licenses, neardup, postings, pseudonyms, quality, repeats, warc
 from marquee.llm.common import table
 from marquee.llm.pipeline import PSEUDONYM_KEY, vocabulary
 from marquee.session import scratch_path
@@ -52,5 +52,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_license_scan, op4_pseudonyms, op5_warc, op6_bpe, op7_quality, op8_near_duplicates, op9_decontaminate)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_license_scan, op4_pseudonyms, op5_warc, op6_bpe, op7_quality, op8_near_duplicates, op9_decontaminate, op10_repeats)}
 SQL = {"op5_warc": warc.SQL, "op7_quality": quality.SQL, "op8_near_duplicates": neardup.SQL, "op9_decontaminate": postings.SQL}
