@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, huffman, licenses, neardup, postings, pseudonyms, quality, repeats, warc
+from marquee.llm import bpe, huffman, licenses, neardup, pitman_yor, postings, pseudonyms, quality, repeats, warc
 from marquee.llm.common import table
 from marquee.llm.pipeline import PSEUDONYM_KEY, vocabulary
 from marquee.session import scratch_path
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = huffman.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -57,5 +61,5 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_license_scan, op4_pseudonyms, op5_warc, op6_bpe, op7_quality, op8_near_duplicates, op9_decontaminate, op10_repeats)}
+QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_token_files, op3_license_scan, op4_pseudonyms, op5_warc, op6_bpe, op7_quality, op8_near_duplicates, op9_decontaminate, op10_repeats)}
 SQL = {"op5_warc": warc.SQL, "op7_quality": quality.SQL, "op8_near_duplicates": neardup.SQL, "op9_decontaminate": postings.SQL}
