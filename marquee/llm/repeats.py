@@ -140,6 +140,8 @@ def repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
     A map task packs its anchors by bucket of the hash; what meets in a bucket are hashes and places, no text.
     """
 
+    most = HOT
+
     def pack(batches):
         held, n = [], 0
         for batch in batches:
@@ -165,7 +167,7 @@ def repeated_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         sizes = np.diff(np.append(np.flatnonzero(first), len(sorted_)))
         n = np.repeat(sizes, sizes)
         again = order[n > 1]
-        hot = (n[n > 1] > HOT).astype(np.uint8)
+        hot = (n[n > 1] > most).astype(np.uint8)
         by_text = np.lexsort((places[again], keys[again]))
         again, hot = again[by_text], hot[by_text]
         texts_, starts = np.unique(keys[again], return_index=True)
@@ -347,6 +349,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copy_ids = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     same = rows["doc_id"].eqNullSafe(copies["doc_id"]) & (rows["text_hash"] == copies["text_hash"])
     originals = rows.join(copy_ids, same, "left_anti")
+    again = long.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id"), F.col("text_hash").alias("again_hash"))
+    again = stage(again, "again")
+    some_again = not again.isEmpty()
+
+    def twice(df: DataFrame):
+        return df["doc_id"].eqNullSafe(again["again_id"]) & (df["text_hash"] == again["again_hash"])
+
+    if some_again:
+        once = originals.join(again, twice(originals), "left_semi").dropDuplicates(["doc_id", "text_hash"])
+        originals = originals.join(again, twice(originals), "left_anti").unionByName(once)
     total = slim.agg(F.sum("n_bytes")).first()[0] or 0
     found = stage(repeated_anchors(originals, max(12, -(-total // BUCKET_BYTES))), "repeated-anchors")
     n_found = (found.agg(F.sum(F.octet_length("places"))).first()[0] or 0) // 4
@@ -361,13 +373,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     few = F.broadcast(decided) if decided.count() <= BROADCAST_ROWS else decided
     on = rows["doc_id"].eqNullSafe(decided["doc_id"]) & (rows["text_hash"] == decided["text_hash"])
     joined = rows.join(few, on, "left").select(rows["doc_id"], rows["text_hash"], "data", "spans", F.coalesce("copy", F.lit(False)).alias("copy"))
-    again = long.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id"), F.col("text_hash").alias("again_hash"))
-    if not again.isEmpty():
-        # rows that repeat id and text: all but one are copies
-        twice = joined["doc_id"].eqNullSafe(again["again_id"]) & (joined["text_hash"] == again["again_hash"])
+    if some_again:
+        # of rows that repeat id and text all but one are copies
         number = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("copy"))
-        some = joined.join(again, twice, "left_semi").withColumn("copy", F.col("copy") | (number > 1))
-        joined = joined.join(again, twice, "left_anti").unionByName(some)
+        some = joined.join(again, twice(joined), "left_semi").withColumn("copy", F.col("copy") | (number > 1))
+        joined = joined.join(again, twice(joined), "left_anti").unionByName(some)
 
     def run(batches):
         for batch in batches:
