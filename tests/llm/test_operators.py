@@ -436,8 +436,7 @@ def test_predictions_sum_to_one():
     word, seat = np.divmod(pairs, pitman_yor.RESTAURANTS)
     word = np.unique(word, return_inverse=True)[1]
     words = words[: word.max() + 1]
-    ones = [np.ones(n, np.int64) for n in (len(pairs), len(np.unique(word * 256 + seat // 64)), len(words))]
-    d = pitman_yor.Dishes(words, word, seat, r.integers(1, 30, len(pairs)), *ones)
+    d = pitman_yor.Dishes.seated(words, word, seat, r.integers(1, 30, len(pairs)))
     customers = np.bincount(seat, d.count, pitman_yor.RESTAURANTS)
     base = 1 / (len(words) + 1)
     for _ in range(3):
@@ -449,10 +448,16 @@ def test_predictions_sum_to_one():
 
 
 def test_gibbs_samples_the_seating():
-    """Tables of one dish with four customers, parent probability 1: the law of the Chinese restaurant."""
+    """One dish with four customers and parent probability 1: the Chinese restaurant, 2.92 tables on average."""
     theta, discount, n = 1.0, 0.5, 20_000
-    t = np.ones(n, np.int64)
+    t, sizes = np.ones(n, np.int64), np.full(n, 4)
     for step in range(25):
-        # one restaurant per dish here: its other tables are none, so the weight follows the dish's own tables
-        t = pitman_yor.gibbs(np.full(n, 4), t, theta + discount * np.maximum(t - 0.0, 0), discount, 1, np.random.default_rng(step))
-    assert t.min() >= 1 and t.max() <= 4 and 1.6 < t.mean() < 3.2
+        t, sizes = pitman_yor.gibbs(np.full(n, 4), t, sizes, theta + discount * t, np.ones(n), discount, 1, np.random.default_rng(step))
+    assert sizes.sum() == 4 * n and len(sizes) == t.sum()
+    assert t.min() == 1 and t.max() == 4 and abs(t.mean() - 2.922) < 0.03
+
+
+def test_settle_keeps_what_did_not_change():
+    old, t, sizes = np.array([1, 4, 5, 3]), np.array([1, 2, 3, 1]), np.array([3, 1, 2, 2, 1, 3])
+    t, sizes = pitman_yor.settle(old, t, sizes, np.array([2, 4, 1, 3]))
+    assert t.tolist() == [1, 2, 1, 1] and sizes.tolist() == [2, 3, 1, 3]
