@@ -370,9 +370,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     decided = spans.select("doc_id", "text_hash", "spans", F.lit(False).alias("copy")).unionByName(
         copies.select("doc_id", "text_hash", F.lit(None).cast("array<struct<low:bigint,high:bigint>>").alias("spans"), F.lit(True).alias("copy")))
     decided = stage(decided, "decided")
-    few = F.broadcast(decided) if decided.count() <= BROADCAST_ROWS else decided
-    on = rows["doc_id"].eqNullSafe(decided["doc_id"]) & (rows["text_hash"] == decided["text_hash"])
-    joined = rows.join(few, on, "left").select(rows["doc_id"], rows["text_hash"], "data", "spans", F.coalesce("copy", F.lit(False)).alias("copy"))
+    ids = decided.select("doc_id", "text_hash")
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+    def touched(df: DataFrame, to: DataFrame):
+        return df["doc_id"].eqNullSafe(to["doc_id"]) & (df["text_hash"] == to["text_hash"])
+
+    # only texts that lose something are shuffled to their spans
+    losing = rows.join(few, touched(rows, ids), "left_semi")
+    losing = losing.join(decided, touched(losing, decided)).select(losing["doc_id"], losing["text_hash"], "data", "spans", "copy")
+    whole = rows.join(few, touched(rows, ids), "left_anti").select(
+        "doc_id", "text_hash", "data", F.lit(None).cast("array<struct<low:bigint,high:bigint>>").alias("spans"), F.lit(False).alias("copy"))
+    joined = losing.unionByName(whole)
     if some_again:
         # of rows that repeat id and text all but one are copies
         number = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("copy"))
