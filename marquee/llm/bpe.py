@@ -19,8 +19,8 @@ from marquee.llm.common import map_batches
 
 # Words longer than this many symbols are merged from a heap: scanning an array of n ranks n times is for short words.
 SHORT_WORD = 96
-# Encoded words remembered in a Python worker; the memory is emptied when full.
-REMEMBERED = 500_000
+# Encoded words that a task remembers; the memory is emptied when full and at the task's end.
+REMEMBERED = 150_000
 ID_BITS = 20
 ID_MASK = (1 << ID_BITS) - 1
 NO_RANK = 1 << 60
@@ -155,8 +155,28 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _added(df: DataFrame, name: str, kind) -> StructType:
-    return StructType([f for f in df.schema.fields if f.name != name] + [StructField(name, kind)])
+def _with(df: DataFrame, added: list[StructField], make) -> DataFrame:
+    """``df`` with the columns that ``make(coder, batch)`` gives; columns of the same names are replaced."""
+    names = {f.name for f in added}
+    schema = StructType([f for f in df.schema.fields if f.name not in names] + added)
+    kept = [f.name for f in schema.fields[: -len(added)]]
+    path, fill = make
+
+    def run(batches):
+        coder = load(path)
+        try:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + fill(coder, batch), names=schema.names)
+        finally:
+            coder.known.clear()
+
+    return map_batches(df, schema, run)
+
+
+def _id_lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), type=pa.list_(pa.field("element", pa.int32(), False)))
 
 
 def bpe_encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -165,29 +185,21 @@ def bpe_encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids")
     Null and empty texts have no ids (an empty array). Repeated rows are encoded alike, an
     empty table gives no rows. ``path`` must be readable on every executor.
     """
-    schema = _added(docs, ids, ArrayType(IntegerType(), False))
-
-    def run(batches):
-        coder = load(path)
-        for batch in batches:
-            rows = [coder.encode(t or "") for t in batch.column(text).to_pylist()]
-            offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-            values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-            kind = pa.list_(pa.field("element", pa.int32(), False))
-            made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), type=kind)
-            yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in schema.fields[:-1]] + [made], names=schema.names)
-
-    return map_batches(docs, schema, run)
+    return _with(docs, [StructField(ids, ArrayType(IntegerType(), False))],
+                 (path, lambda coder, batch: [_id_lists([coder.encode(t or "") for t in batch.column(text).to_pylist()])]))
 
 
 def bpe_decode(coded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Every row with the text of its ``ids``; null ids give an empty text, unknown ids are left out."""
-    schema = _added(coded, text, StringType())
+    return _with(coded, [StructField(text, StringType())],
+                 (path, lambda coder, batch: [pa.array([coder.decode(x or ()) for x in batch.column(ids).to_pylist()], pa.string())]))
 
-    def run(batches):
-        coder = load(path)
-        for batch in batches:
-            made = pa.array([coder.decode(x or ()) for x in batch.column(ids).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in schema.fields[:-1]] + [made], names=schema.names)
 
-    return map_batches(coded, schema, run)
+def bpe_round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``bpe_encode`` and ``bpe_decode`` of its ids in one pass, with one Python worker a task."""
+
+    def fill(coder, batch):
+        rows = [coder.encode(t or "") for t in batch.column(text).to_pylist()]
+        return [_id_lists(rows), pa.array([coder.decode(x.tolist()) for x in rows], pa.string())]
+
+    return _with(docs, [StructField(ids, ArrayType(IntegerType(), False)), StructField(decoded, StringType())], (path, fill))

@@ -21,7 +21,7 @@ from marquee.llm.graph import components
 COORDS = 96
 MATCHES = 56
 BLOCK = 512  # nodes of one side of a block pair
-REMEMBERED = 500_000
+REMEMBERED = 100_000  # word hashes that a batch's shingler remembers
 _U = np.uint64
 _SCALES = np.random.default_rng(20240101).integers(0, 1 << 63, COORDS, dtype=np.uint64) * _U(2) + _U(1)
 
@@ -74,7 +74,7 @@ def shingled(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
     """``docs`` with ``node`` (null: no words), ``n_shingles`` and ``signature``."""
 
     def run(batch):
-        shingler = _shingler(n)
+        shingler = Shingler(n)
         sets = [shingler(t) for t in texts(batch, text)]
         return {"node": [node_of(s) for s in sets], "n_shingles": [len(s) for s in sets],
                 "signature": [signature(s).tobytes() if len(s) else None for s in sets]}
@@ -82,13 +82,6 @@ def shingled(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
     return with_columns(docs, {"node": "bigint", "n_shingles": "bigint", "signature": "binary"}, run)
 
 
-_SHINGLERS: dict[int, Shingler] = {}
-
-
-def _shingler(n: int) -> Shingler:
-    return _SHINGLERS.setdefault(n, Shingler(n))
-
-
 def postings(nodes: DataFrame) -> DataFrame:
     """(key, node): a node under each coordinate and its value."""
 
@@ -136,7 +129,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     some = docs.join(ids, docs["doc_id"].eqNullSafe(ids["wanted_id"]), "left_semi").select("text")
 
     def run(batch):
-        shingler = _shingler(n)
+        shingler = Shingler(n)
         sets = [shingler(t) for t in texts(batch, "text")]
         return {"node": [node_of(s) for s in sets], "shingles": [s.tobytes() for s in sets],
                 "signature": [signature(s).tobytes() for s in sets]}

@@ -61,8 +61,7 @@ def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, their number, and the text that the ids decode to."""
-    path = vocabulary("word_bpe_49k.json")
-    coded = bpe.bpe_decode(bpe.bpe_encode(docs, path), path)
+    coded = bpe.bpe_round_trip(docs, vocabulary("word_bpe_49k.json"))
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "decoded")
 
 

@@ -35,9 +35,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary("word_bpe_49k.json")
-    coded = bpe.bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
-    read = bpe.bpe_decode(coded, path)
+    read = bpe.bpe_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"))
     return read.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -150,7 +150,8 @@ def test_bpe_equals_library(spark, docs, nothing, texts):
     for r in rows:
         assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids
         assert r.decoded == library.decode(r.ids, skip_special_tokens=False)
-    assert len(rows) == docs.count() and bpe.bpe_encode(nothing, path).collect() == []
+    assert multiset((r.doc_id, r.decoded) for r in bpe.bpe_round_trip(docs, path).collect()) == multiset((r.doc_id, r.decoded) for r in rows)
+    assert len(rows) == docs.count() and bpe.bpe_round_trip(nothing, path).collect() == []
 
 
 def test_long_words_merge_alike():
