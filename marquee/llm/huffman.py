@@ -255,7 +255,7 @@ def read_ids(manifest: DataFrame, root: str, doc_id: str = "doc_id") -> DataFram
 # A blank beside another blank or at an end: such texts go to the library whole. In all others a
 # single blank belongs to the run after it and no merge crosses it, so runs can be remembered.
 _ODD = re.compile(r"\s\s|^\s|\s$| [\x1c-\x1f]|[\x1c-\x1f] ")
-REMEMBERED = 200_000
+REMEMBERED = 600_000  # runs that a Python worker remembers, from task to task; emptied when full
 
 
 # Fixed value: the published pattern of byte-level vocabularies. Characters before U+0558 have one class in every Unicode version.
@@ -334,12 +334,9 @@ def encode_ids(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id",
 
     def run(batches):
         lib = library(path)
-        try:
-            for batch in batches:
-                ids = [lib.encode(t or "") + end for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[doc_id, "ids"])
-        finally:
-            lib.known.clear()
+        for batch in batches:
+            ids = [lib.encode(t or "") + end for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[doc_id, "ids"])
 
     return map_batches(docs.select(F.col(doc_id).cast("bigint").alias(doc_id), text), f"{doc_id} bigint, ids binary", run)
 
