@@ -19,9 +19,13 @@ BROADCAST_BYTES = 64 * 2**20
 
 
 def implicit_scores(events: DataFrame) -> DataFrame:
-    """ratio × log1p(play + 1) from the largest position and play time of each pair."""
-    best = events.groupBy("user_id", "content_id").agg(
-        F.max("position_seconds").alias("pos"), F.max("playback_seconds").alias("play"))
+    """ratio × log1p(play + 1) from the largest position and play time of each pair.
+
+    Missing positions and times count as 0; events without user or title belong to no pair.
+    """
+    pairs = events.where(F.col("user_id").isNotNull() & F.col("content_id").isNotNull())
+    best = pairs.groupBy("user_id", "content_id").agg(
+        F.coalesce(F.max("position_seconds"), F.lit(0)).alias("pos"), F.coalesce(F.max("playback_seconds"), F.lit(0)).alias("play"))
     ratio = F.when(F.col("pos") > 0, F.least(F.col("pos") / FULL_POSITION, F.lit(1.0))).otherwise(
         F.least(F.col("play") / FULL_PLAYBACK, F.lit(1.0)))
     return best.select("user_id", "content_id", (ratio * F.log1p(F.col("play") + 1.0)).alias("score"))

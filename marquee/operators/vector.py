@@ -33,6 +33,7 @@ def _score_block(k: int, metric: str, left_id: str, right_id: str, slice_cells:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {left_id: [], right_id: [], "score": []}
         vectors = left.filter(pc.is_valid(left.column("vec")))
+        right = right.filter(pc.is_valid(right.column("vec")))
         if vectors.num_rows and right.num_rows:
             right = right.sort_by(right_id)
             a, b = _matrix(vectors, "vec"), _matrix(right, "vec")
@@ -140,12 +141,12 @@ def knn(queries: DataFrame, chunks: DataFrame, k: int, genre: str | None = None,
 
 
 def ivf_build(chunks: DataFrame, lists: int = 100, seed: int = 7, max_iter: int = 10) -> tuple[DataFrame, DataFrame]:
-    """(chunks with their list number, list centres) from k-means on unit vectors."""
+    """(chunks with their list number, list centres) from k-means on unit vectors; a zero vector stays zero."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
-    unit = chunks.withColumn("_unit", array_to_vector(F.transform("vec", lambda x: x / size)))
+    unit = chunks.withColumn("_unit", array_to_vector(F.transform("vec", lambda x: F.when(size > 0, x / size).otherwise(F.lit(0.0)))))
     model = KMeans(k=lists, seed=seed, maxIter=max_iter, featuresCol="_unit", predictionCol="list_id").fit(unit)
     centres = chunks.sparkSession.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "list_id int, vec array<double>")

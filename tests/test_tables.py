@@ -72,19 +72,6 @@ def test_lake_round_trip(spark, tmp_path, rows):
     assert {r["topic"] for r in sources.replay(day, "elsewhere").collect()} == {"elsewhere"}
 
 
-def test_compaction_and_expiry(spark, tmp_path, rows):
-    root = f"{tmp_path}/t"
-    for i in range(5):
-        spark.createDataFrame([(i, "2024-01-01"), (i, "2024-02-01")], "v int, d string").write.mode("append").partitionBy("d").parquet(root)
-    lake.compact(spark, root, {"d": "2024-01-01"}, ["d"], 1)
-    files = spark.read.parquet(root).where("d = '2024-01-01'").select(F.input_file_name()).distinct().count()
-    assert files == 1
-    assert spark.read.parquet(root).where("d = '2024-02-01'").select(F.input_file_name()).distinct().count() == 5
-    assert spark.read.parquet(root).count() == 10
-    assert lake.drop_expired(spark, root, "d", 30, "2024-02-10") == ["2024-01-01"]
-    assert spark.read.parquet(root).count() == 5
-
-
 def test_medallion(spark, tmp_path, rows):
     from marquee.operators.sessions import silver_playback
     from marquee.plans.marts import gold_content_daily
