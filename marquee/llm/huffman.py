@@ -252,15 +252,23 @@ def read_ids(manifest: DataFrame, root: str, doc_id: str = "doc_id") -> DataFram
 
 # --- encoding with the library ----------------------------------------------------
 
-# A blank beside another blank or at an end: such texts go to the library whole. In all others a
-# single blank belongs to the run after it and no merge crosses it, so runs can be remembered.
-_ODD = re.compile(r"\s\s|^\s|\s$| [\x1c-\x1f]|[\x1c-\x1f] ")
 REMEMBERED = 600_000  # runs that a Python worker remembers, from task to task; emptied when full
 
 
 # Fixed value: the published pattern of byte-level vocabularies. Characters before U+0558 have one class in every Unicode version.
 _PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 _SETTLED = re.compile("[\x00-\u0557]*")
+_TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")  # letters, then signs other than the apostrophe
+
+
+def lone_blanks(text: str) -> bool:
+    """No white space beside other white space or at an end.
+
+    Then a single blank belongs to the run after it and no merge crosses it, so runs can be
+    remembered; all other texts go to the library whole.
+    """
+    words = text.split()
+    return len(words) - 1 == len(text) - sum(map(len, words))
 
 
 class Library:
@@ -276,26 +284,41 @@ class Library:
         self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
+        self.blank = " ".translate(self.letters)
         self.known: dict[str, bytes] = {}  # run without the blank before it -> ids, u32
-        self.ends: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}  # the same of runs without a blank before them
+        self.newline = self._piece("\n")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self.model.tokenize(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
-        return array("I", [t.id for t in tokens]).tobytes()
+        if piece.isascii() and piece.isalpha():  # such letters stand for themselves
+            return self._ids(piece)
+        return self._ids(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
+
+    def _ids(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _word(self, word: str, lead: str) -> bytes:
+        """A run of letters, the blank before it included."""
+        return self._ids(self.blank + word) if lead and word.isascii() else self._piece(lead + word)
+
+    def _seen(self, run: str, lead: str) -> bytes:
+        memory = self.known if lead else self.bare
+        if run not in memory:
+            memory[run] = self._run(run, lead)
+        return memory[run]
 
     def _run(self, run: str, lead: str = " ") -> bytes:
         if run.isalpha():
-            return self._piece(lead + run)
-        if run[-1] in ".," and lead and run[:-1].isalpha():
-            word, end = run[:-1], run[-1]
-            if word not in self.known:
-                self.known[word] = self._piece(lead + word)
-            if end not in self.ends:
-                self.ends[end] = self._piece(end)
-            return self.known[word] + self.ends[end]
+            return self._word(run, lead)
+        tailed = _TAILED.fullmatch(run)
+        if tailed and tailed[1].isalpha():
+            return self._seen(tailed[1], lead) + self._seen(tailed[2], "")
+        if "\n" in run:
+            head, *lines = run.split("\n")
+            return self.newline.join([self._seen(head, lead), *(self._seen(x, "") for x in lines)])
         if _SETTLED.fullmatch(run):
             return b"".join(map(self._piece, _PIECES.findall(lead + run)))
         return self._whole(lead + run)
@@ -304,15 +327,16 @@ class Library:
         """Ids as little-endian u32."""
         if not text:
             return b""
-        if _ODD.search(text) or any(a in text for a in self.added):
+        if not lone_blanks(text) or any(a in text for a in self.added):
             return self._whole(text)
         first, *rest = text.split(" ")
         known = self.known
         try:
             tail = b"".join(map(known.__getitem__, rest))
         except KeyError:
-            if len(known) > REMEMBERED:
+            if len(known) + len(self.bare) > REMEMBERED:
                 known.clear()
+                self.bare.clear()
             for run in set(rest).difference(known):
                 known[run] = self._run(run)
             tail = b"".join(map(known.__getitem__, rest))
