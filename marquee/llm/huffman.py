@@ -23,6 +23,7 @@ MAX_BITS = 18
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches this
 FILE_IDS = 1 << 23  # so does a file
 LANE = 64  # ids between two checkpoints
+WIDE, NARROW = "<u4", "<u2"  # how ids are held between encoding and writing
 MAGIC = b"IDHUF1\n\0"
 _BLOCK = struct.Struct("<IQQ")  # documents, ids, payload bytes
 
@@ -143,8 +144,8 @@ def read_block(code: Code, data: memoryview) -> tuple[int, list[int | None], np.
     return at + n_payload, [None if m else d for d, m in zip(doc_ids.tolist(), missing)], sizes, ids
 
 
-def write_ids(coded: DataFrame, root: str, doc_id: str = "doc_id", ids: str = "ids", max_bits: int = MAX_BITS) -> DataFrame:
-    """Write the id lists (binary, little-endian u32) in ascending order of ``doc_id``; returns the manifest.
+def write_ids(coded: DataFrame, root: str, doc_id: str = "doc_id", ids: str = "ids", max_bits: int = MAX_BITS, kind: str = WIDE) -> DataFrame:
+    """Write the id lists (binary, unsigned little-endian numbers of ``kind``) in ascending order of ``doc_id``; returns the manifest.
 
     Counts cover all rows; the code table is bounded by the vocabulary. Rows are range-sorted,
     null ids first, repeated ids in a fixed order of their content, so a repeated task writes
@@ -156,7 +157,7 @@ def write_ids(coded: DataFrame, root: str, doc_id: str = "doc_id", ids: str = "i
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids_of_batch = np.frombuffer(b"".join(x or b"" for x in batch.column(0).to_pylist()), "<u4")
+            ids_of_batch = np.frombuffer(b"".join(x or b"" for x in batch.column(0).to_pylist()), kind)
             n = np.bincount(ids_of_batch, minlength=len(total))
             n[: len(total)] += total
             total = n
@@ -197,7 +198,7 @@ def write_ids(coded: DataFrame, root: str, doc_id: str = "doc_id", ids: str = "i
         for batch in batches:
             for d, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held_ids.append(d)
-                held.append(np.frombuffer(x or b"", "<u4"))
+                held.append(np.frombuffer(x or b"", kind))
                 held_n += len(held[-1])
                 if held_n >= BLOCK_IDS:
                     flush(False)
@@ -274,7 +275,7 @@ def lone_blanks(text: str) -> bool:
 class Library:
     """Byte-level BPE by the tokenizers library, whose model is asked once for each run between blanks."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kind: str = WIDE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -282,15 +283,16 @@ class Library:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.kind, self.code = kind, {WIDE: "I", NARROW: "H"}[kind]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.blank = " ".translate(self.letters)
-        self.known: dict[str, bytes] = {}  # run without the blank before it -> ids, u32
+        self.known: dict[str, bytes] = {}  # run without the blank before it -> ids
         self.bare: dict[str, bytes] = {}  # the same of runs without a blank before them
         self.newline = self._piece("\n")
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         if piece.isascii() and piece.isalpha():  # such letters stand for themselves
@@ -298,7 +300,7 @@ class Library:
         return self._ids(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
 
     def _ids(self, letters: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _word(self, word: str, lead: str) -> bytes:
         """A run of letters, the blank before it included."""
@@ -324,7 +326,7 @@ class Library:
         return self._whole(lead + run)
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian u32."""
+        """Ids as little-endian numbers of ``kind``."""
         if not text:
             return b""
         if not lone_blanks(text) or any(a in text for a in self.added):
@@ -344,20 +346,27 @@ class Library:
 
 
 @lru_cache(maxsize=2)
-def library(path: str) -> Library:
-    return Library(path)
+def library(path: str, kind: str = WIDE) -> Library:
+    return Library(path, kind)
 
 
-def encode_ids(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``ids`` (little-endian u32) of every whole text, ``end_id`` appended.
+def id_kind(path: str, end_id: int) -> str:
+    """The narrowest numbers that hold every id of the vocabulary and the end id."""
+    from tokenizers import Tokenizer
+
+    return NARROW if max(end_id, *Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else WIDE
+
+
+def encode_ids(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text", kind: str = WIDE) -> DataFrame:
+    """``doc_id`` and ``ids`` (little-endian numbers of ``kind``) of every whole text, ``end_id`` appended.
 
     Null and empty texts have the end id alone. Repeated rows and null ids are kept; an empty
     table gives no rows; other columns are not read.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], kind).tobytes()
 
     def run(batches):
-        lib = library(path)
+        lib = library(path, kind)
         for batch in batches:
             ids = [lib.encode(t or "") + end for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[doc_id, "ids"])
@@ -370,5 +379,6 @@ def round_trip(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id",
     spark = docs.sparkSession
     shared_folder(spark)
     root = scratch_path(spark, "id-files")
-    manifest = write_ids(stage(encode_ids(docs, path, end_id, doc_id, text), "ids"), root, doc_id)
+    kind = id_kind(path, end_id)
+    manifest = write_ids(stage(encode_ids(docs, path, end_id, doc_id, text, kind), "ids"), root, doc_id, kind=kind)
     return read_ids(manifest, root, doc_id)
