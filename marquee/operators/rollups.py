@@ -32,6 +32,7 @@ def platform_daily(events: DataFrame) -> DataFrame:
     )
 
 
+STATE = ("events", "plays", "completions", "watch_units", "watch_n")
 # Grain of each rollup: how its key columns come from an event.
 GRAINS = {
     "content_hourly": {"content_id": lambda: F.col("content_id"), "window_hour": lambda: to_hour(F.col("event_time"))},
@@ -39,29 +40,28 @@ GRAINS = {
 }
 
 
-def rollup_partial(events: DataFrame, grain: str, lg_k: int = 14) -> DataFrame:
-    """Partial state of one slice of events: counts, unit sums and a user sketch."""
+def rollup_partial(events: DataFrame, grain: str) -> DataFrame:
+    """Partial state of one slice of events: counts and unit sums for each key and user, so users merge exactly."""
     keys = [make().alias(name) for name, make in GRAINS[grain].items()]
-    return events.groupBy(*keys).agg(
+    return events.groupBy(*keys, "user_id").agg(
         F.count(F.lit(1)).alias("events"),
         count_type("video_play").alias("plays"),
         count_type("video_complete").alias("completions"),
         F.sum(to_units(F.col("playback_seconds"))).alias("watch_units"),
         F.count("playback_seconds").alias("watch_n"),
-        F.hll_sketch_agg("user_id", F.lit(lg_k)).alias("users"),
     )
 
 
 def rollup_merge(parts: DataFrame, grain: str) -> DataFrame:
     """Add partial states together; the result is again a partial state."""
-    sums = [F.sum(c).alias(c) for c in ("events", "plays", "completions", "watch_units", "watch_n")]
-    return parts.groupBy(*GRAINS[grain]).agg(*sums, F.hll_union_agg("users").alias("users"))
+    return parts.groupBy(*GRAINS[grain], "user_id").agg(*[F.sum(c).alias(c) for c in STATE])
 
 
 def rollup_finish(state: DataFrame, grain: str) -> DataFrame:
-    """Readable numbers from a state."""
+    """Readable numbers from a merged state, which has one row per key and user."""
+    state = state.groupBy(*GRAINS[grain]).agg(*[F.sum(c).alias(c) for c in STATE], F.count("user_id").alias("users"))
     seconds = F.col("watch_units") / F.lit(UNITS_PER_SECOND)
-    users = F.hll_sketch_estimate("users")
+    users = F.col("users")
     if grain == "content_hourly":
         return state.select(
             "content_id", "window_hour", F.col("plays").alias("total_plays"),

@@ -93,20 +93,62 @@ def finish_sessions(df: DataFrame, extra: list[str] = ()) -> DataFrame:
     )
 
 
+def session_partial(events: DataFrame) -> DataFrame:
+    """Mergeable state of sessions from some of their events; the catalog is not needed yet."""
+    begin = F.struct("event_time", "event_id", "content_id", "device_type", "app_version")
+    end = F.struct("event_time", "event_id", "content_id", "position_seconds")
+    return events.groupBy("user_id", "session_id").agg(
+        F.min(begin).alias("first"), F.max(end).alias("final"), F.sum(to_units(play_seconds())).alias("watch_units"),
+        count_type("video_pause").alias("pause_count"), count_type("video_seek").alias("seek_count"),
+        F.min("event_time").alias("session_start"), F.max("event_time").alias("session_end"))
+
+
+def session_merge(parts: DataFrame) -> DataFrame:
+    """Add states together; the result is again a state."""
+    sums = [F.sum(c).alias(c) for c in ("watch_units", "pause_count", "seek_count")]
+    return parts.groupBy("user_id", "session_id").agg(
+        F.min("first").alias("first"), F.max("final").alias("final"), *sums,
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"))
+
+
+def session_finish(state: DataFrame, content: DataFrame) -> DataFrame:
+    """Session rows from a state: first title and device, progress in the last title."""
+    info = content.select(F.col("content_id").alias("_title_id"), F.col("duration_seconds").cast("double").alias("_duration"))
+    rows = state.join(info, F.col("final.content_id") == F.col("_title_id"), "left").select(
+        "user_id", "session_id", F.col("first.content_id").alias("content_id"),
+        F.coalesce("first.device_type", F.lit(DEFAULT_DEVICE)).alias("device_type"),
+        F.coalesce("first.app_version", F.lit(DEFAULT_VERSION)).alias("app_version"), "watch_units", "pause_count", "seek_count",
+        F.struct(F.col("final.position_seconds").alias("position_seconds"),
+                 F.coalesce("_duration", F.lit(float(DEFAULT_DURATION))).alias("content_duration_seconds")).alias("last"),
+        "session_start", "session_end")
+    return finish_sessions(rows)
+
+
 def play_sessions(events: DataFrame, content: DataFrame) -> DataFrame:
     """One row per (user, session): play time, pauses, seeks and last progress."""
-    rich = enrich_events(events, content)
-    return finish_sessions(rich.groupBy("user_id", "session_id").agg(*session_measures()))
+    return session_finish(session_partial(events), content)
 
 
 def tumbling_metrics(events: DataFrame, width: str = "1 minute") -> DataFrame:
     """Events, plays and play seconds per window and title."""
+    return tumbling_finish(tumbling_partial(events, width))
+
+
+def tumbling_partial(events: DataFrame, width: str = "1 minute") -> DataFrame:
+    """Mergeable state of the windows that some events fall into."""
     return events.groupBy(F.window("event_time", width).alias("w"), "content_id").agg(
-        F.count(F.lit(1)).alias("events_count"),
-        count_type("video_play").alias("plays"),
-        exact_sum(play_seconds(0.0)).alias("watch_seconds"),
-    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "content_id",
-             "events_count", "plays", "watch_seconds")
+        F.count(F.lit(1)).alias("events_count"), count_type("video_play").alias("plays"),
+        F.sum(to_units(play_seconds(0.0))).alias("watch_units"),
+    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "content_id", "events_count", "plays", "watch_units")
+
+
+def tumbling_merge(parts: DataFrame) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("events_count", "plays", "watch_units")]
+    return parts.groupBy("window_start", "window_end", "content_id").agg(*sums)
+
+
+def tumbling_finish(state: DataFrame) -> DataFrame:
+    return state.withColumn("watch_seconds", F.col("watch_units") / F.lit(UNITS_PER_SECOND)).drop("watch_units")
 
 
 def late_flag(df: DataFrame, order_col: str, lateness_seconds: float = 30.0, scope: list[str] = (),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions.scalars import category_of, partition_time
 from marquee.operators.staging import event_instant
-from marquee.sources.upsert import upsert_path
+from marquee.sources.upsert import exists, kept, overwrite_partitions, upsert_path
 
 LAKE_PARTITIONS = ["category", "date", "hour"]
 # hour of the categories that are filed by day only
@@ -63,8 +63,16 @@ def write_silver(silver: DataFrame, root: str) -> None:
 
 def write_gold(mart: DataFrame, root: str) -> None:
     """Daily mart by month; the days written replace their former rows."""
-    rows = mart.withColumn("metric_month", F.date_format("metric_date", "yyyy-MM"))
-    upsert_path(mart.sparkSession, root, rows, ["metric_date", "content_id"], ["metric_month"])
+    spark = mart.sparkSession
+    rows = kept(mart.withColumn("metric_month", F.date_format("metric_date", "yyyy-MM")))
+    try:
+        whole = rows
+        if exists(spark, root):
+            old = spark.read.schema(rows.schema).parquet(root).join(rows.select("metric_month").distinct(), "metric_month", "left_semi")
+            whole = old.join(rows.select("metric_date").distinct(), "metric_date", "left_anti").unionByName(rows)
+        overwrite_partitions(whole, root, ["metric_month"])
+    finally:
+        rows.unpersist()
 
 
 def sorted_playback(events: DataFrame, root: str) -> None:

@@ -45,9 +45,10 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def upsert_path(spark: SparkSession, path: str, src: DataFrame, keys: list[str], partitions: list[str],
-                schema=None) -> None:
+                schema=None, version: list[str] | None = None) -> None:
     """Upsert into Parquet, rewriting only the partitions ``src`` touches.
 
+    With ``version`` the newest row of a key stays, whether it is stored or new.
     A key must stay in its partition. The dynamic overwrite is staged by the
     committer, so a failed job leaves the old partitions in place.
     """
@@ -57,9 +58,11 @@ def upsert_path(spark: SparkSession, path: str, src: DataFrame, keys: list[str],
             reader = spark.read.schema(schema or src.schema)
             touched = src.select(*partitions).distinct()
             old = reader.parquet(path).join(touched, partitions, "left_semi")
-            rows = upsert(old, src, keys)
+            rows = upsert(old, src, keys) if version is None else old.select(*src.columns).unionByName(src)
         else:
             rows = src
+        if version is not None:
+            rows = latest_by_key(rows, keys, version)
         overwrite_partitions(rows, path, partitions)
     finally:
         src.unpersist()

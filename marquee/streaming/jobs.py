@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,7 +16,7 @@ from marquee.operators.sessions import (
 from marquee.operators.staging import event_instant, split_valid, stg_playback_events, to_dlq, validate_events
 from marquee.sources.contracts import CONTRACTS
 from marquee.sources.lake import LAKE_PARTITIONS, lake_columns
-from marquee.sources.upsert import exists, kept, overwrite_partitions
+from marquee.sources.upsert import exists, file_system, kept, overwrite_partitions
 from marquee.streaming.sinks import BATCH, foreach_batch_sink, write_batch
 
 LATENESS = "30 seconds"
@@ -64,17 +65,17 @@ def merge_segments(segments: DataFrame) -> DataFrame:
     return finish_sessions(merged)
 
 
-def stream_rollup(events: DataFrame, grain: str, lg_k: int = 14) -> DataFrame:
-    """Hourly title or daily platform rollup as a stream, with a user sketch for the distinct count."""
+def stream_rollup(events: DataFrame, grain: str) -> DataFrame:
+    """Hourly title or daily platform rollup as a stream of states, one for each key and user."""
     width = {"content_hourly": "1 hour", "platform_daily": "1 day"}[grain]
-    keys = [F.window("event_time", width).alias("w")] + [F.col(c) for c in GRAINS[grain] if c == "content_id"]
+    keys = [F.window("event_time", width).alias("w")] + [F.col(c) for c in GRAINS[grain] if c == "content_id"] + [F.col("user_id")]
     state = events.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("events"), count_type("video_play").alias("plays"),
         count_type("video_complete").alias("completions"), F.sum(to_units(F.col("playback_seconds"))).alias("watch_units"),
-        F.count("playback_seconds").alias("watch_n"), F.hll_sketch_agg("user_id", F.lit(lg_k)).alias("users"))
+        F.count("playback_seconds").alias("watch_n"))
     start = F.col("w.start")
     made = {"content_id": F.col("content_id"), "window_hour": start, "metric_date": F.to_date(start)}
-    return state.select(*[made[c].alias(c) for c in GRAINS[grain]], "events", "plays", "completions", "watch_units", "watch_n", "users")
+    return state.select(*[made[c].alias(c) for c in GRAINS[grain]], "user_id", "events", "plays", "completions", "watch_units", "watch_n")
 
 
 def stream_content_hourly(events: DataFrame) -> DataFrame:
@@ -153,6 +154,9 @@ def run_playback_stream(src: DataFrame, content: DataFrame, root: str, checkpoin
                         **trigger_args) -> dict[str, StreamingQuery]:
     """The whole playback stream as four queries with a checkpoint each, or those named in ``outputs``.
 
+    Rows are final once the watermark has passed them, and events behind it are left out:
+    ``complete.run_complete_stream`` keeps, flags and counts those.
+
     dead_letters: invalid events. events: valid first deliveries with title and
     late flag. sessions: segments of idle sessions. windows: minute metrics.
     ``src`` holds decoded playback events; ``order_col`` (with ``scope``) is the
@@ -188,14 +192,20 @@ def reconcile(spark: SparkSession, lake_root: str, dates: list[str], models: dic
     """Rebuild daily models of some days from the lake, late events included.
 
     Every model maps clean events to rows with a ``day`` column; only the
-    partitions of the given days are replaced.
+    partitions of the given days are replaced, and removed if nothing is left.
+    The days before and after are read too, so sessions across midnight stay whole.
     """
-    lake = spark.read.parquet(lake_root).where((F.col("category") == "playback") & F.col("date").cast("string").isin(dates))
+    around = sorted({(date.fromisoformat(d) + timedelta(days=n)).isoformat() for d in dates for n in (-1, 0, 1)})
+    lake = spark.read.parquet(lake_root).where((F.col("category") == "playback") & F.col("date").cast("string").isin(around))
     events = stg_playback_events(typed(lake).select(*CONTRACTS["playback"].fields), as_of).persist()
     try:
         for name, build in models.items():
             rows = build(events).where(F.col(day).cast("string").isin(dates))
             overwrite_partitions(rows, f"{out_root}/{name}", [day])
+            filled = {str(r[0]) for r in rows.select(day).distinct().collect()}  # at most the given days
+            for emptied in set(dates) - filled:
+                location, fs = file_system(spark, f"{out_root}/{name}/{day}={emptied}")
+                fs.delete(location, True)
     finally:
         events.unpersist()
 

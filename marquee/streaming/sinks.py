@@ -36,11 +36,16 @@ def foreach_batch_sink(tables: dict[str, Callable[[DataFrame], DataFrame]], root
     return sink
 
 
-def upsert_sink(path: str, keys: list[str], partitions: list[str]) -> Callable[[DataFrame, int], None]:
-    """Keep the newest row per key; for results that are sent again when they change."""
+def upsert_sink(path: str, keys: list[str], partitions: list[str],
+                version: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """Keep one row per key; for results that are sent again when they change.
+
+    With ``version`` it is the newest by those columns. Without, the last batch wins and
+    a batch must hold a key once.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert_path(batch.sparkSession, path, batch, keys, partitions)
+        upsert_path(batch.sparkSession, path, batch, keys, partitions, version=version)
 
     return sink
 
