@@ -11,7 +11,6 @@ from marquee.llm.common import alnum_words, lower_ascii, texts, with_columns
 
 # The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-_BASE_KEYS = (b"general public", b"apache", b"cc", b"mit")
 
 # Priorities: a whole license text or header beats a name with version, which beats a bare name, which beats a hint.
 TEXT, NAMED, BARE, HINT = 3, 2, 1, 0
@@ -203,7 +202,7 @@ def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
         for t in texts(batch, text):
             words = alnum_words(t)
             lowered = lower_ascii(t)
-            places = base_places(words) if any(k in lowered for k in _BASE_KEYS) else []
+            places = base_places(words)
             kept = detect(lowered, table, keywords)
             base = {label for _, label in places}
             at = [p for p, _ in places]

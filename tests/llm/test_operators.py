@@ -112,6 +112,14 @@ def test_license_base(docs, nothing):
     assert licenses.license_scan(nothing).collect() == []
 
 
+def test_license_base_phrases_across_separators(spark):
+    """Consecutive words count, whatever stands between them."""
+    gaps = ("  ", "\n", "\n * ", "\r\n# ", "-", "\t", "\n" + " " * 20, " </> ")
+    rows = [("see the " + phrase.upper().replace(" ", gap) + " now", label) for gap in gaps for phrase, label in licenses.BASE.items()]
+    for r in licenses.license_scan(spark.createDataFrame(rows, "text string, label string").coalesce(1)).collect():
+        assert (r.n_base, r.first_word, r.last_word, r.base_labels) == (1, 2, 2, r.label) and r.label in r.labels.split(",") and r.score >= 0.8
+
+
 def test_license_rules():
     table = licenses.rules()
     keys = sorted({r.keyword for r in table})
