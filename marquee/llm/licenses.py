@@ -20,7 +20,7 @@ TEXT, NAMED, BARE, HINT = 3, 2, 1, 0
 class Rule:
     name: str
     label: str
-    keyword: bytes  # must occur in the lower-cased text before the pattern is tried
+    keyword: bytes  # must occur in the folded text before the pattern is tried
     pattern: re.Pattern
     priority: int
     score: float
@@ -28,6 +28,12 @@ class Rule:
 
 S = r"(?:[\s,;:*#/|>-]{1,8})"  # what may stand between two words of a signature
 _ENDS = r"(?<![a-z0-9_.-])", r"(?![a-z0-9_])"
+_BLANKED = bytes(32 if b in b" \t\n\r\f\v,;:*#/|>-" else b for b in range(256))
+
+
+def folded(lowered: bytes) -> bytes:
+    """Each run of what may stand between two words as one blank: what a pattern matches holds its keyword."""
+    return b" ".join(lowered.translate(_BLANKED).split())
 
 
 def _signature(words: str) -> str:
@@ -43,7 +49,7 @@ def rules() -> list[Rule]:
     out: list[Rule] = []
 
     def add(label: str, keyword: str, words: str, priority: int = NAMED, score: float = 0.9):
-        out.append(Rule(f"{label}_{len(out)}", label, keyword.encode(), re.compile(_signature(words).encode()), priority, score))
+        out.append(Rule(f"{label}_{len(out)}", label, folded(keyword.encode()), re.compile(_signature(words).encode()), priority, score))
 
     # GNU licenses: short names, long names, identifiers, addresses
     for short, title, versions in (("gpl", "general public", "1 2 3"), ("lgpl", "lesser general public", "2.1 3"),
@@ -128,7 +134,7 @@ def rules() -> list[Rule]:
             ("psf-2.0", "python software foundation", "python software foundation license(?: version 2)?", NAMED, 0.95),
             ("ruby", "ruby license", "ruby license", BARE, 0.85),
             ("openssl", "openssl license", "openssl license", BARE, 0.85),
-            ("postgresql", "postgresql license", "postgresql licen[cs]e", BARE, 0.9),
+            ("postgresql", "postgresql", "postgresql licen[cs]e", BARE, 0.9),
             ("vim", "vim license", "vim license", BARE, 0.9),
             ("w3c", "w3c", "w3c software (?:notice and )?license", NAMED, 0.9),
             ("json", "good, not evil", "the software shall be used for good not evil", TEXT, 1.0),
@@ -153,7 +159,8 @@ def detect(lowered: bytes, table: list[Rule], keywords: list[bytes]) -> list[tup
     A detection inside another of at least its priority is suppressed; of equal spans the
     higher priority, then the earlier rule stays.
     """
-    present = {k for k in keywords if k in lowered}
+    text = folded(lowered)
+    present = {k for k in keywords if k in text}
     if not present:
         return []
     found = [(m.start(), m.end(), rule, place) for place, rule in enumerate(table) if rule.keyword in present
@@ -190,7 +197,8 @@ OUTPUTS = {"n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "las
 def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row with its base phrases, labels, best score and the kept detections (byte spans of the text).
 
-    Rules run over the whole text, lower-cased for A-Z, and only if their keyword occurs. Null
+    Rules run over the whole text, lower-cased for A-Z, and only if their keyword occurs, with
+    any separators between its words. Null
     and empty texts have no words, empty labels and score 0. Repeated rows get the same result,
     an empty table gives no rows, and columns with a result's name are replaced.
     """

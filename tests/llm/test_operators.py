@@ -138,6 +138,52 @@ def test_license_rules():
     assert not any(a is not b and a[0] <= b[0] and b[1] <= a[1] and a[2].priority >= b[2].priority for a in kept for b in kept)
 
 
+def written(tree, gap, most):
+    """A text that a parsed pattern matches: ``gap`` between words, optional parts left out or (``most``) put in."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "SUBPATTERN":
+            out += written(arg[3], gap, most)
+        elif op == "BRANCH":
+            out += written(arg[1][-1 if most else 0], gap, most)
+        elif op == "IN":
+            out += chr(arg[0][1])
+        elif op == "MAX_REPEAT":
+            low, high, body = arg
+            out += gap if (low, high) == (1, 8) else written(body, gap, most) * (1 if most else low) if high == 1 else gap * (1 if most else low)
+        else:
+            assert op == "ASSERT_NOT", op
+    return out
+
+
+@pytest.mark.parametrize("gap", [" ", "\n", "\n * ", "\n# ", "  ", "\r\n// ", "-", ", "])
+def test_license_rules_across_separators(gap):
+    """Every rule is tried where its pattern matches, with optional parts and without."""
+    table = licenses.rules()
+    keys = sorted({r.keyword for r in table})
+    for rule in table:
+        for most in (False, True):
+            text = written(re._parser.parse(rule.pattern.pattern.decode()), gap, most).encode()
+            assert rule.pattern.fullmatch(text), (rule.name, text)
+            kept = licenses.detect(b"x (" + text + b")", table, keys)
+            assert any(a <= 3 and b >= 3 + len(text) and r.priority >= rule.priority for a, b, r in kept), (rule.name, text)
+
+
+def test_license_wrapped_headers():
+    table = licenses.rules()
+    keys = sorted({r.keyword for r in table})
+
+    def labels(t):
+        return [d[2].label for d in licenses.detect(t.lower().encode(), table, keys)]
+
+    assert labels("GNU General\n * Public License") == ["gpl"]
+    assert labels("# Permission is hereby\n# granted, free of charge, to any person\n# obtaining a copy") == ["mit"]
+    assert labels("The Software shall be used for Good not Evil") == labels("The Software shall be used for Good, not Evil") == ["json"]
+
+
 # --- 6, 2 --------------------------------------------------------------------------------
 
 
