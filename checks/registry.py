@@ -1038,7 +1038,7 @@ def _(g):
 
 
 def watch_scores(g):
-    return factors.implicit_scores(g.events.where(F.col("position_seconds") >= 0))
+    return factors.implicit_scores(g.events)
 
 
 @check("r05_svd_recommend")

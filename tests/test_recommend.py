@@ -2,11 +2,13 @@
 
 from collections import Counter
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from marquee.functions import vectors
 from marquee.operators import factors, hybrid, rules, text, vector
 
@@ -93,6 +95,20 @@ def test_als_leaves_out_seen_titles(spark):
     assert all(m[int(x["user_id"][1:]), int(x["content_id"][1:])] == 0 and 1 <= x["rank"] <= 3 for x in got)
 
 
+def test_recommenders_fit_on_all_events(spark, rows):
+    """A pair whose only event has a negative or no position is scored, fitted and left out as seen."""
+    data = [(f"u{u}", f"i{i}", 100.0 * (u + i + 1), 60.0) for u in range(8) for i in range(6) if (u + i) % 3]
+    data += [("u0", "i3", -5.0, 1200.0), ("u1", "i2", None, 900.0), ("u9", "i1", -1.0, 0.0)]
+    df = spark.createDataFrame(data, "user_id string, content_id string, position_seconds double, playback_seconds double")
+    scores = registry.watch_scores(SimpleNamespace(events=df)).cache()
+    assert rows(scores, "user_id", "content_id", "score") == rows(factors.implicit_scores(df), "user_id", "content_id", "score")
+    seen = {(u, i) for u, i, _, _ in data}
+    assert {(x["user_id"], x["content_id"]) for x in scores.collect()} == seen
+    every = {(u, f"i{i}") for u in [*(f"u{u}" for u in range(8)), "u9"] for i in range(6)}
+    for got in (factors.svd_recommend(scores, k=2, top=6), factors.als_recommend(scores, rank=2, top=6, maxIter=2)):
+        assert {(x["user_id"], x["content_id"]) for x in got.collect()} == every - seen
+
+
 def points(spark, n, dim, id_name, seed, copies=0):
     rng = np.random.default_rng(seed)
     v = rng.normal(size=(n, dim))
