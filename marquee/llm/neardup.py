@@ -2,13 +2,15 @@
 
 A text's shingles are hashed to 64 bits; texts with the same set are one node. Every node is
 posted under its ``COORDS`` (coordinate, value) pairs. A pair with Jaccard similarity of 0.8
-agrees in about 77 of 96 coordinates and in fewer than ``MATCHES`` with a probability of 1e-7.
-Pairs that agree in ``MATCHES`` or more are confirmed on their full sets.
+agrees in about 77 of 96 coordinates and in fewer than 56 with a probability of 3.5e-7 (``MISSED``).
+The number of ``matches`` asked for follows from the similarity, at most that probability for all.
+Pairs that agree in ``matches`` or more are confirmed on their full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +21,28 @@ from marquee.llm.common import blank_words, map_batches, stage, texts, with_colu
 from marquee.llm.graph import components
 
 COORDS = 96
-MATCHES = 56
 BLOCK = 512  # nodes of one side of a block pair
 REMEMBERED = 100_000  # word hashes that a batch's shingler remembers
 _U = np.uint64
 _SCALES = np.random.default_rng(20240101).integers(0, 1 << 63, COORDS, dtype=np.uint64) * _U(2) + _U(1)
 
 
+def missed(matches: int, percent: int) -> float:
+    """Probability that a pair of this similarity agrees in fewer than ``matches`` coordinates."""
+    return sum(comb(COORDS, k) * (percent / 100) ** k * (1 - percent / 100) ** (COORDS - k) for k in range(matches))
+
+
+MISSED = missed(56, 80)
+
+
+def matches_for(percent: int) -> int:
+    """The most coordinates to ask for so that a pair at ``percent`` is missed with at most ``MISSED``."""
+    fit = [m for m in range(1, COORDS + 1) if missed(m, percent) <= MISSED] if 0 <= percent <= 100 else []
+    if not fit:
+        raise ValueError(f"no number of matches finds pairs of {percent} percent with the same certainty")
+    return fit[-1]
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
@@ -95,29 +112,29 @@ def postings(nodes: DataFrame) -> DataFrame:
     return map_batches(nodes.select("node", "signature"), "key bigint, node bigint", run)
 
 
-def _with_counts(lists: DataFrame) -> DataFrame:
-    """(key, node, n) of the lists with two or more nodes, for nodes on ``MATCHES`` or more such lists."""
+def _with_counts(lists: DataFrame, matches: int) -> DataFrame:
+    """(key, node, n) of the lists with two or more nodes, for nodes on ``matches`` or more such lists."""
     counts = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = stage(lists.join(counts, "key").select("key", "node", "n"), "shared-lists")
-    enough = shared.groupBy("node").agg(F.count("*").alias("on")).where(F.col("on") >= MATCHES)
+    enough = shared.groupBy("node").agg(F.count("*").alias("on")).where(F.col("on") >= matches)
     return shared.join(enough, "node").select("key", "node", "n", "on")
 
 
-def hub_clusters(nodes: DataFrame) -> DataFrame:
-    """(hub, node): every pair that agrees in ``MATCHES`` coordinates meets under at least one hub.
+def hub_clusters(nodes: DataFrame, matches: int) -> DataFrame:
+    """(hub, node): every pair that agrees in ``matches`` coordinates meets under at least one hub.
 
-    Only nodes on ``MATCHES`` shared lists can have a partner; their lists are counted anew among
-    themselves. The prefix of a node are its rarest lists, all but ``MATCHES - 1``: a partner
+    Only nodes on ``matches`` shared lists can have a partner; their lists are counted anew among
+    themselves. The prefix of a node are its rarest lists, all but ``matches - 1``: a partner
     shares one of them, so the longer lists are skipped, and probed only by comparing signatures.
     A list's hub is its node with the longest lists in all; its nodes meet there once, however
     many lists they share.
     """
-    first = _with_counts(postings(nodes))
-    lists = stage(_with_counts(first.select("key", "node")), "lists")
+    first = _with_counts(postings(nodes), matches)
+    lists = stage(_with_counts(first.select("key", "node"), matches), "lists")
     rarest = Window.partitionBy("node").orderBy("n", "key")  # at most COORDS rows
     weight = F.sum("n").over(Window.partitionBy("node"))
     prefix = (lists.withColumn("place", F.row_number().over(rarest)).withColumn("weight", weight)
-              .where(F.col("place") <= F.col("on") - (MATCHES - 1)).select("key", "node", "weight"))
+              .where(F.col("place") <= F.col("on") - (matches - 1)).select("key", "node", "weight"))
     prefix = stage(prefix, "prefix-lists")
     hubs = prefix.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"), F.count("*").alias("n")).where("n > 1")
     return stage(prefix.join(hubs.select("key", F.col("top.node").alias("hub")), "key").select("hub", "node").distinct(), "clusters")
@@ -174,7 +191,7 @@ def _links(rows: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in rows], pa.int64()), "b": pa.array([b for _, b in rows], pa.int64())})
 
 
-def star_links(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def star_links(clusters: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
     """(a, b): links between a hub and its nodes; a large cluster is dealt over many tasks, each with the hub's set."""
     sizes = clusters.groupBy("hub").agg(F.count("*").alias("n"))
     dealt = clusters.where("hub <> node").join(sizes, "hub").select(
@@ -185,13 +202,13 @@ def star_links(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(key, table):
         nodes, sets_, sigs = _columns(table)
         hub = nodes.index(key[0].as_py())
-        near = np.flatnonzero((sigs == sigs[hub]).sum(axis=1) >= MATCHES)
+        near = np.flatnonzero((sigs == sigs[hub]).sum(axis=1) >= matches)
         return _links([(nodes[hub], nodes[i]) for i in near.tolist() if i != hub and similar(sets_[hub], sets_[i], percent)])
 
     return rows.groupBy("hub", "part").applyInArrow(run, "a bigint, b bigint")
 
 
-def pair_links(clusters: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def pair_links(clusters: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, matches: int) -> DataFrame:
     """(a, b): links that join different components, in clusters whose nodes are not yet one component.
 
     A cluster is cut into blocks; every pair of blocks is one task that compares the signatures
@@ -215,7 +232,7 @@ def pair_links(clusters: DataFrame, sets: DataFrame, labels: DataFrame, percent:
             js = right[right > i] if key[1].as_py() == key[2].as_py() else right
             js = js[labels_[js] != labels_[i]]
             n = (sigs[js] == sigs[i]).sum(axis=1)
-            found += [(-int(m), i, j) for m, j in zip(n[n >= MATCHES].tolist(), js[n >= MATCHES].tolist())]
+            found += [(-int(m), i, j) for m, j in zip(n[n >= matches].tolist(), js[n >= matches].tolist())]
         for _, i, j in sorted(found):
             if forest.find(label[i]) != forest.find(label[j]) and similar(sets_[i], sets_[j], percent):
                 forest.join(label[i], label[j])
@@ -233,18 +250,20 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     says whether that is the row's own. A text with fewer words is one shingle; null, empty and
     blank texts have none, are linked with nothing and kept. Repeated rows share their result.
     Null ids take part; they never are the smallest id unless all ids of a component are null.
-    An empty table gives no rows. Other columns are not read.
+    An empty table gives no rows. Other columns are not read. A ``percent`` too low for the
+    signature's coordinates is refused.
     """
+    matches = matches_for(percent)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = stage(shingled(docs, n).drop("text"), "signatures")
     filled = rows.where("node IS NOT NULL")
     classes = stage(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes")
     nodes = filled.select("node", "signature").dropDuplicates(["node"])
-    clusters = hub_clusters(nodes)
+    clusters = hub_clusters(nodes, matches)
     wanted = clusters.select("node").distinct().join(classes, "node")
     sets = sets_of(docs, wanted, n)
-    star = stage(star_links(clusters, sets, percent), "star-links")
-    rest = stage(pair_links(clusters, sets, components(star), percent), "pair-links")
+    star = stage(star_links(clusters, sets, percent, matches), "star-links")
+    rest = stage(pair_links(clusters, sets, components(star), percent, matches), "pair-links")
     labels = components(star.union(rest))
     lowest = labels.join(classes, "node").groupBy("label").agg(F.min("doc_id").alias("low"))
     of_node = classes.join(labels.join(lowest, "label").select("node", "low"), "node", "left").select(

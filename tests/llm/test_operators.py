@@ -363,6 +363,20 @@ def test_near_duplicates(docs, nothing, monkeypatch, n, percent, block):
     assert neardup.near_duplicates(nothing).collect() == []
 
 
+def test_near_duplicates_below_80_percent(spark):
+    """Pairs at exactly 60 percent (9 of 15 words in both), of which a threshold for 80 misses a third."""
+    rows = [(2 * i + k, " ".join(f"w{i}x{j}" for j in [*range(9), *range(9 + 3 * k, 12 + 3 * k)])) for i in range(60) for k in (0, 1)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2), 1, 60).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(d, d - d % 2) for d, _ in rows}
+
+
+def test_matches_follow_the_similarity():
+    assert neardup.matches_for(80) == 56 and neardup.matches_for(100) == neardup.COORDS
+    assert all(neardup.missed(neardup.matches_for(p), p) <= neardup.MISSED < 4e-7 for p in range(20, 101))
+    with pytest.raises(ValueError):
+        neardup.matches_for(5)
+
+
 # --- 9 ---------------------------------------------------------------------------------------------
 
 
