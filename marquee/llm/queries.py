@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, huffman, licenses, neardup, pitman_yor, postings, pseudonyms, quality, repeats, warc
+from marquee.llm import bpe, conversations, huffman, licenses, maxscore, neardup, pitman_yor, postings, pseudonyms, quality, repeats, topk, warc
 from marquee.llm.common import table
 from marquee.llm.pipeline import PSEUDONYM_KEY, vocabulary
 from marquee.session import scratch_path
@@ -59,5 +59,19 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_token_files, op3_license_scan, op4_pseudonyms, op5_warc, op6_bpe, op7_quality, op8_near_duplicates, op9_decontaminate, op10_repeats)}
-SQL = {"op5_warc": warc.SQL, "op7_quality": quality.SQL, "op8_near_duplicates": neardup.SQL, "op9_decontaminate": postings.SQL}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+    return found.select("conv_id", *conversations.MEASURES)
+
+
+QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_token_files, op3_license_scan, op4_pseudonyms, op5_warc, op6_bpe, op7_quality, op8_near_duplicates, op9_decontaminate, op10_repeats, op11_ranked_search, op12_exact_top_k, op13_conversation_repair)}
+SQL = {"op5_warc": warc.SQL, "op7_quality": quality.SQL, "op8_near_duplicates": neardup.SQL, "op9_decontaminate": postings.SQL,
+       "op11_ranked_search": maxscore.SQL, "op12_exact_top_k": topk.SQL, "op13_conversation_repair": conversations.SQL}
