@@ -14,7 +14,7 @@ from marquee.operators import factors, governance, hybrid, quality, rollups, rul
 from marquee.plans import daily, marts
 from marquee.session import cut_lineage, scratch_path
 from marquee.sources import events as sources, tables, upsert
-from marquee.streaming import jobs, monitors, sinks
+from marquee.streaming import complete, jobs, monitors, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BUILDERS: dict[str, Callable[[Given], DataFrame]] = {}
@@ -774,29 +774,106 @@ DLQ_WINDOWS = """SELECT w AS window_start, count(*) FILTER (WHERE bad) AS dead,
       SELECT failure_reason IS NOT NULL AS bad, unnest(range(0, 5)) AS i, date_trunc('minute', ingestion_time) - to_minutes(i) AS w FROM (%s)) GROUP BY w""" % DEAD
 
 
-@check("t13_dlq_rate", f"""
+DLQ_RATE = f"""
     SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, dead AS dlq_count, total AS ingress_count, dead / 300.0e0 AS dlq_per_second,
-      dead / total AS dlq_share, dead / 300.0e0 > 5.0e0 AS rate_breach, dead / total > 0.001e0 AS share_breach FROM ({DLQ_WINDOWS})""")
-def _(g):
-    marked = staging.validate_events(g.raw, AS_OF).withColumn(
+      dead / total AS dlq_share, dead / 300.0e0 > 5.0e0 AS rate_breach, dead / total > 0.001e0 AS share_breach FROM ({DLQ_WINDOWS})"""
+
+
+def marked_deliveries(g):
+    return staging.validate_events(g.raw, AS_OF).withColumn(
         "failure_reason", F.when(F.col("content_id") == "ghost_000092", F.lit("Payload is not a valid JSON dictionary")).otherwise(F.col("failure_reason")))
+
+
+@check("t13_dlq_rate", DLQ_RATE)
+def _(g):
+    marked = marked_deliveries(g)
     dead = marked.where(F.col("failure_reason").isNotNull()).select(F.col("ingestion_time").alias("failed_at"))
-    return monitors.dlq_rate(dead, g.raw.select(F.col("ingestion_time").alias("received_at")))
+    return monitors.dlq_rate(dead, marked.select(F.col("ingestion_time").alias("received_at")))
 
 
-@check("t14_evaluate_alerts", """
+@check("t13_stream_dlq_rate", DLQ_RATE)
+def _(g):
+    return streams.dlq_windows(g, marked_deliveries(g).select("ingestion_time", "failure_reason"))
+
+
+ALERTS = """
     SELECT 'EventRateHigh' AS alert, 'warning' AS severity, series, min(ts) AS firing_from, max(ts) AS firing_to, count(*) AS samples FROM (
       SELECT *, sum(CASE WHEN prev IS DISTINCT FROM true THEN 1 ELSE 0 END) OVER (PARTITION BY series ORDER BY ts) AS island FROM (
         SELECT *, lag(breach) OVER (PARTITION BY series ORDER BY ts) AS prev FROM (
           SELECT user_id % 6 AS series, date_trunc('hour', ts) AS ts, count(*) > 2 AS breach FROM events GROUP BY 1, date_trunc('hour', events.ts))) WHERE breach)
-    GROUP BY series, island HAVING max(ts) - min(ts) >= INTERVAL 2 HOUR""")
-def _(g):
+    GROUP BY series, island HAVING max(ts) - min(ts) >= INTERVAL 2 HOUR"""
+EVENT_RATE = monitors.Rule("EventRateHigh", "event_rate", ">", 2.0, 7200, "warning")
+
+
+def hourly_rates(g):
     ts = F.col("ts").cast("timestamp")
     series = (F.col("user_id") % 6).alias("series")
     hourly = g.read("events").groupBy(series, F.date_trunc("hour", ts).alias("ts")).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    metrics = hourly.select(F.lit("event_rate").alias("metric"), "series", "ts", "value")
-    rule = monitors.Rule("EventRateHigh", "event_rate", ">", 2.0, 7200, "warning")
-    return monitors.evaluate_alerts(metrics, [rule]).select("alert", "severity", "series", "firing_from", "firing_to", "samples")
+    return hourly.select(F.lit("event_rate").alias("metric"), "series", "ts", "value")
+
+
+@check("t14_evaluate_alerts", ALERTS)
+def _(g):
+    return monitors.evaluate_alerts(hourly_rates(g), [EVENT_RATE]).select("alert", "severity", "series", "firing_from", "firing_to", "samples")
+
+
+@check("t14_stream_alerts", ALERTS)
+def _(g):
+    return streams.alerts(g, hourly_rates(g), EVENT_RATE).select("alert", "severity", "series", "firing_from", "firing_to", "samples")
+
+
+# the loss-free stream: the whole event table in five batches, late rows and redeliveries included
+
+ARRIVED = """SELECT * FROM (SELECT *, ingestion_time AS arrived, row_number() OVER (PARTITION BY event_id ORDER BY ingestion_time) AS copy FROM raw
+      WHERE event_id IN (SELECT event_id FROM stg)) WHERE copy = 1"""
+ARRIVALS = f"""SELECT event_id, user_id, event_time, event_time < max(event_time) OVER (PARTITION BY source_partition ORDER BY epoch_us(arrived) * 2 + event_id % 2
+      ROWS UNBOUNDED PRECEDING) - INTERVAL 30 SECOND AS is_late FROM ({ARRIVED})"""
+
+
+@check("t01_complete_events", f"SELECT a.event_id, a.is_late, content_id, content_title FROM ({ARRIVALS}) a JOIN rich USING (event_id)")
+def _(g):
+    return complete.stored_events(g.spark, streams.complete_run(g)[0]).select("event_id", "is_late", "content_id", "content_title")
+
+
+@check("t01_complete_counts", f"""
+    SELECT *, received - dead_lettered - stored AS redelivered, received AS observed_received, dead_lettered AS observed_dead_lettered FROM (
+      SELECT (SELECT count(*) FROM raw) AS received, (SELECT count(*) FROM (SELECT {REASON} AS r FROM raw) WHERE r IS NOT NULL) AS dead_lettered,
+        (SELECT count(*) FROM stg) AS stored, (SELECT count(*) FROM ({ARRIVALS}) WHERE is_late) AS late)""")
+def _(g):
+    root, seen = streams.complete_run(g)
+    counts = complete.stored_counts(g.spark, root)
+    return counts.select("*", F.lit(seen.totals["received"]).cast("bigint").alias("observed_received"), F.lit(seen.totals["dead_lettered"]).cast("bigint").alias("observed_dead_lettered"))
+
+
+@check("t03_complete_dedup", "SELECT event_id, user_id, event_time FROM stg")
+def _(g):
+    return complete.stored_events(g.spark, streams.complete_run(g)[0]).select("event_id", "user_id", "event_time")
+
+
+@check("t04_stream_late_flags", """
+    SELECT event_id, source_partition, is_late, sum(is_late::BIGINT) OVER (PARTITION BY source_partition ORDER BY event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS late_count FROM (
+      SELECT event_id, user_id % 6 AS source_partition, event_time < max(event_time) OVER (PARTITION BY user_id % 6 ORDER BY event_id ROWS UNBOUNDED PRECEDING) - INTERVAL 30 SECOND AS is_late FROM stg)""")
+def _(g):
+    return streams.late_flags(g).select("event_id", "source_partition", "is_late", "late_count")
+
+
+@check("t05_complete_sessions", PLAY_SESSIONS)
+def _(g):
+    return complete.stored_sessions(g.spark, streams.complete_run(g)[0], g.content)
+
+
+@check("t06_complete_windows", TUMBLING)
+def _(g):
+    return complete.stored_windows(g.spark, streams.complete_run(g)[0])
+
+
+@check("t10_stop_and_resume", "SELECT event_id, count(*) AS deliveries, true AS stopped_early, true AS all_counted FROM raw GROUP BY event_id")
+def _(g):
+    rows, first, second = streams.stopped_and_resumed(g)
+    came = [m.totals.get("received", 0) for m in (first, second)]
+    total = rows.count()
+    early, counted = total // 2 <= came[0] < total, set(first.batches).isdisjoint(second.batches) and total <= sum(came) + max(0, total - came[0])
+    return rows.groupBy("event_id").agg(F.count(F.lit(1)).alias("deliveries")).select("*", F.lit(early).alias("stopped_early"), F.lit(counted).alias("all_counted"))
 
 
 # --- data quality -----------------------------------------------------------

@@ -10,7 +10,7 @@ from marquee.operators import rollups
 from marquee.session import scratch_path
 from marquee.sources.contracts import CONTRACTS
 from marquee.sources.upsert import read_changed
-from marquee.streaming import jobs, sinks
+from marquee.streaming import complete, jobs, meter, monitors, sinks, stateful
 
 ONCE = {"availableNow": True}
 
@@ -74,3 +74,93 @@ def changed(g: Given) -> DataFrame:
     feed = Streamed(g, "orders").subs.select("user_id", "plan_id", "status", "updated_at", "subscription_id", "op")
     run_to_end(feed, sinks.changes_sink(path, ["user_id"], ["updated_at", "subscription_id"]))
     return read_changed(g.spark, path)
+
+
+# --- several batches: the whole table cut by a value ------------------------------------
+
+BATCHES = 5
+
+
+def in_batches(df: DataFrame, at, parts: int = BATCHES, last: DataFrame | None = None) -> DataFrame:
+    """A stream of all rows of ``df`` in ``parts`` micro-batches by rising ``at`` (a number), and ``last`` as one more.
+
+    The file source takes files in the order in which they were written, one file a batch.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "arrivals")
+    bounds = df.select(F.percentile_approx(at, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        rows = df if low is None else df.where(at >= low)
+        rows = rows if high is None else rows.where(at < high)
+        rows.coalesce(1).write.mode("append").parquet(path)
+    if last is not None:
+        last.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def deliveries(g: Given) -> DataFrame:
+    """Deliveries with their arrival number."""
+    return g.raw.withColumn("arrival", F.unix_micros("ingestion_time") * 2 + F.pmod("event_id", F.lit(2)))
+
+
+_RUNS: dict[tuple[str, str], tuple[str, meter.Meter]] = {}
+
+
+def complete_run(g: Given) -> tuple[str, meter.Meter]:
+    """Tables and meter of the loss-free stream over all deliveries; one run serves all queries of a session."""
+    known = (g.spark.sparkContext.applicationId, g.dir)
+    if known not in _RUNS:
+        root, check = scratch_path(g.spark, "complete"), scratch_path(g.spark, "checkpoint")
+        src = in_batches(deliveries(g), F.unix_micros("ingestion_time"))
+        start = lambda: complete.run_complete_stream(src, g.content, root, check, order_col="arrival", scope=["source_partition"], as_of=AS_OF, **ONCE)
+        _RUNS[known] = root, meter.run_metered(g.spark, start)
+    return _RUNS[known]
+
+
+def late_flags(g: Given) -> DataFrame:
+    """Late flags and counts of first deliveries, from state, over several batches."""
+    stateful.use_state_store(g.spark)
+    clean = g.events.withColumn("source_partition", F.col("user_id") % 6).select("event_id", "source_partition", "event_time")
+    src = in_batches(clean, F.col("event_id"))
+    root = scratch_path(g.spark, "flags")
+    run_to_end(stateful.flag_late(src, "event_id", 30.0, ["source_partition"]), sinks.foreach_batch_sink({"t": lambda d: d}, root))
+    return sinks.read_batches(g.spark, f"{root}/t")
+
+
+def alerts(g: Given, metrics: DataFrame, rule: monitors.Rule) -> DataFrame:
+    """Firing intervals of a metric stream; a last sample of no rule's series moves the watermark over the end."""
+    stateful.use_state_store(g.spark)
+    end = metrics.limit(0).unionByName(metrics.agg(F.lit(rule.metric).alias("metric"), F.lit(None).cast(metrics.schema["series"].dataType).alias("series"),
+                                                   (F.max("ts") + F.expr("INTERVAL 9 DAYS")).alias("ts"), F.lit(None).cast("double").alias("value")))
+    src = in_batches(metrics, F.unix_seconds("ts"), last=end)
+    root = scratch_path(g.spark, "alerts")
+    told = stateful.stream_alerts(src, [rule], "1 hour")
+    run_to_end(told, sinks.foreach_batch_sink({"t": lambda d: d}, root))
+    return stateful.firing_intervals(g.spark.read.schema(told.schema).parquet(f"{root}/t"))
+
+
+def dlq_windows(g: Given, marked: DataFrame) -> DataFrame:
+    """Closed windows of dead letters against ingress; a last row moves both watermarks over the end."""
+    last = marked.agg((F.max("ingestion_time") + F.expr("INTERVAL 9 DAYS")).alias("ingestion_time"), F.lit("end").alias("failure_reason"))
+    src = in_batches(marked, F.unix_micros("ingestion_time"), last=last)
+    dead = src.where("failure_reason IS NOT NULL").select(F.col("ingestion_time").alias("failed_at"))
+    rates = monitors.stream_dlq_rate(dead, src.select(F.col("ingestion_time").alias("received_at")))
+    root = scratch_path(g.spark, "rates")
+    run_to_end(rates, sinks.foreach_batch_sink({"t": lambda d: d}, root))
+    return sinks.read_batches(g.spark, f"{root}/t")
+
+
+def stopped_and_resumed(g: Given) -> tuple[DataFrame, meter.Meter, meter.Meter]:
+    """Deliveries stored by a run that is stopped after half of them and by a second one over its checkpoint."""
+    root, check = scratch_path(g.spark, "resumed"), scratch_path(g.spark, "checkpoint")
+    rows = deliveries(g).select("event_id", "ingestion_time")
+    half = rows.count() // 2
+    src = meter.observed(in_batches(rows, F.unix_micros("ingestion_time"), 8))
+
+    def start(**when):
+        return lambda: (src.writeStream.foreachBatch(sinks.foreach_batch_sink({"t": lambda d: d}, root)).outputMode("append")
+                        .option("checkpointLocation", check).trigger(**when).start())
+
+    first = meter.run_metered(g.spark, start(processingTime="1 second"), stop_after=half)
+    second = meter.run_metered(g.spark, start(**ONCE))
+    return sinks.read_batches(g.spark, f"{root}/t"), first, second

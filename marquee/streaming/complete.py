@@ -1,9 +1,9 @@
 """The playback stream without loss: each valid event is stored once, however late, flagged and counted.
 
-No step depends on a watermark. Events are filed by their own day, so a redelivery is looked up only in
-the days of its batch. Sessions, windows and counts are mergeable states per batch, added up on read:
-a late event joins a later state. All tables are filed by run and batch below the day, and a run is named
-in its checkpoint, so a repeated batch replaces itself and a new checkpoint replaces nothing.
+No step depends on a watermark. Late flags are state of the stream (``stateful.flag_late``). Events are filed
+by their own day, so a redelivery is looked up only in the days of its batch. Sessions, windows and counts are
+mergeable states per batch, added up on read: a late event joins a later state. All tables are filed by run and batch, and
+a run is named in its checkpoint, so a repeated batch replaces itself and a new checkpoint replaces nothing.
 """
 
 from __future__ import annotations
@@ -13,18 +13,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from marquee.operators.sessions import (
-    enrich_events, late_flag, session_finish, session_merge, session_partial, tumbling_finish, tumbling_merge, tumbling_partial,
+    enrich_events, session_finish, session_merge, session_partial, tumbling_finish, tumbling_merge, tumbling_partial,
 )
-from marquee.operators.staging import to_dlq
+from marquee.operators.staging import event_instant, to_dlq, validate_events
 from marquee.sources.upsert import exists, file_system, kept, overwrite_partitions
-from marquee.streaming.jobs import stream_split, trigger, typed
+from marquee.streaming.jobs import trigger, typed
+from marquee.streaming.meter import observed
 from marquee.streaming.sinks import BATCH
+from marquee.streaming.stateful import flag_late, use_state_store
 
 RUN, DAY = "run_id", "event_day"
-FILED = [DAY, RUN, BATCH]
+FLAGS = ["failure_reason", "is_late", "late_count"]
 
 
 def run_name(spark: SparkSession, checkpoint: str) -> str:
@@ -38,19 +39,14 @@ def run_name(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(path).first()[0]
 
 
-def file_batch(df: DataFrame, batch_id: int, path: str, run: str) -> None:
-    """Write rows with an ``event_day`` below day, run and batch; the rows of a day meet, and busy days are split."""
+def file_batch(df: DataFrame, batch_id: int, path: str, run: str, by: tuple[str, ...] = ()) -> None:
+    """Write rows below run and batch, ``by`` first; the rows of a folder meet, and busy folders are split."""
     filed = df.withColumns({RUN: F.lit(run), BATCH: F.lit(batch_id).cast("bigint")})
-    overwrite_partitions(filed.hint("rebalance", DAY), path, FILED)
+    overwrite_partitions(filed.hint("rebalance", *by) if by else filed, path, [*by, RUN, BATCH])
 
 
-def read_filed(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
-
-
-def own(run: str, batch_id: int):
-    return (F.col(RUN) == run) & (F.col(BATCH) == batch_id)
+def read_filed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(DAY, RUN, BATCH)
 
 
 def first_deliveries(events: DataFrame, order_col: str, key: str = "event_id") -> DataFrame:
@@ -59,63 +55,50 @@ def first_deliveries(events: DataFrame, order_col: str, key: str = "event_id") -
     return events.withColumn("_n", F.row_number().over(arrivals)).where("_n = 1").drop("_n")
 
 
-def unseen(events: DataFrame, stored: DataFrame | None, key: str = "event_id") -> DataFrame:
-    """Events whose key their day does not hold yet; of the table only the days of the batch are read."""
-    if stored is None:
-        return events
-    days = events.select(DAY).distinct()
-    return events.join(stored.select(key, DAY).join(days, DAY, "left_semi"), [key, DAY], "left_anti")
+def stored_keys(spark: SparkSession, table: str, days: list[str], run: str, batch_id: int, key: str, kind) -> DataFrame | None:
+    """(key, day) of what earlier batches stored for some days; only the folders of these days are listed and read."""
+    folders = [f for f in (f"{table}/{DAY}={d}" for d in days) if exists(spark, f)]
+    if not folders:
+        return None
+    schema = f"{key} {kind.simpleString()}, {DAY} date, {RUN} string, {BATCH} bigint"
+    stored = spark.read.schema(schema).option("basePath", table).parquet(*folders)
+    return stored.where((F.col(RUN) != run) | (F.col(BATCH) != batch_id)).select(key, DAY)
 
 
-def high_marks(spark: SparkSession, path: str, run: str, batch_id: int, schema) -> DataFrame | None:
-    """The largest event time per scope before a batch: one folder, or all of them for a run's first batch."""
-    last = f"{path}/{RUN}={run}/{BATCH}={batch_id - 1}"
-    if exists(spark, last):
-        return spark.read.schema(schema).parquet(last)
-    if not exists(spark, path):
-        return None
-    known = schema.fieldNames()
-    full = StructType([*schema.fields, StructField(RUN, StringType()), StructField(BATCH, LongType())])
-    others = spark.read.schema(full).parquet(path).where((F.col(RUN) != run) | (F.col(BATCH) < batch_id))
-    return others.groupBy(*known[:-1]).agg(F.max("high_mark").alias("high_mark"))
+def judged(src: DataFrame, order_col: str, scope: list[str], lateness_seconds: float, as_of=None) -> DataFrame:
+    """A stream's rows with ``failure_reason``, ``is_late`` and ``late_count``; counted as ``received`` and ``dead_lettered``.
+
+    Copies of an event are flagged too: they raise no maximum that the first had not raised, so no flag depends on them.
+    """
+    checked = validate_events(src, F.current_timestamp() if as_of is None else as_of)
+    checked = observed(checked, dead_lettered=F.col("failure_reason").isNotNull())
+    valid_time = F.when(F.col("failure_reason").isNull(), event_instant(checked))
+    return flag_late(checked.withColumn("_valid_time", valid_time), order_col, lateness_seconds, scope, "_valid_time").drop("_valid_time")
 
 
-def complete_sink(content: DataFrame, root: str, run: str, order_col: str, scope: list[str], lateness_seconds: float,
-                  as_of=None) -> Callable[[DataFrame, int], None]:
-    """Dead letters, new events with title and late flag, and the states of sessions, windows and counts of a batch."""
+def complete_sink(content: DataFrame, root: str, run: str, order_col: str, as_of=None) -> Callable[[DataFrame, int], None]:
+    """Dead letters, new events with title and late flag, and the states of sessions, windows and counts of a judged batch."""
     now = F.current_timestamp() if as_of is None else as_of
-    table = f"{root}/events"
+    table, key = f"{root}/events", "event_id"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = kept(batch)
-        ok, bad = stream_split(batch, as_of)
-        ok = typed(ok).withColumn(DAY, F.to_date("event_time"))
-        shape = enrich_events(ok.withColumn("is_late", F.lit(False)), content).withColumns(
-            {RUN: F.lit(run), BATCH: F.lit(batch_id).cast("bigint")}).schema
-        stored = read_filed(spark, table, shape).where(~own(run, batch_id)) if exists(spark, table) else None
-        fresh = kept(unseen(first_deliveries(ok, order_col), stored))
+        bad = batch.where("failure_reason IS NOT NULL")
+        ok = typed(batch.where("failure_reason IS NULL").drop("failure_reason", "late_count")).withColumn(DAY, F.to_date("event_time"))
+        days = [str(r[0]) for r in ok.select(DAY).distinct().toLocalIterator()]  # the days of one batch
+        stored = stored_keys(spark, table, days, run, batch_id, key, batch.schema[key].dataType)
+        fresh = first_deliveries(ok, order_col, key)
+        fresh = kept(fresh if stored is None else fresh.join(stored, [key, DAY], "left_anti"))
         try:
-            highs = fresh.groupBy(*scope).agg(F.max("event_time").alias("high_mark"))
-            past = high_marks(spark, f"{root}/high_marks", run, batch_id, highs.schema)
-            flagged = late_flag(fresh, order_col, lateness_seconds, scope, start=past)
-            file_batch(enrich_events(flagged, content), batch_id, table, run)
-            both = highs if past is None else highs.unionByName(past)
-            marks = both.groupBy(*scope).agg(F.max("high_mark").alias("high_mark"))
-            overwrite_partitions(marks.withColumns({RUN: F.lit(run), BATCH: F.lit(batch_id).cast("bigint")}), f"{root}/high_marks", [RUN, BATCH])
-            today = F.to_date(F.lit(now) if isinstance(now, str) else now)
-            file_batch(to_dlq(bad, now).withColumn(DAY, today), batch_id, f"{root}/dead_letters", run)
-            new = read_filed(spark, table, shape).where(own(run, batch_id))
-            file_batch(session_partial(new).withColumn(DAY, F.to_date("session_start")), batch_id, f"{root}/sessions", run)
-            file_batch(tumbling_partial(new).withColumn(DAY, F.to_date("window_start")), batch_id, f"{root}/windows", run)
-            count = F.count(F.lit(1)).alias("n")
-            counted = [("received", batch.agg(count)), ("dead_lettered", bad.agg(count)), ("stored", new.agg(count)),
-                       ("late", new.where("is_late").agg(count))]
-            states = [df.select(F.lit(name).alias("measure"), "n") for name, df in counted]
-            rows = states[0]
-            for more in states[1:]:
-                rows = rows.unionByName(more)
-            file_batch(rows.withColumn(DAY, today), batch_id, f"{root}/counts", run)
+            file_batch(enrich_events(fresh, content), batch_id, table, run, (DAY,))
+            file_batch(session_partial(fresh), batch_id, f"{root}/sessions", run)
+            file_batch(tumbling_partial(fresh), batch_id, f"{root}/windows", run)
+            file_batch(to_dlq(bad.drop(*FLAGS[1:]), now), batch_id, f"{root}/dead_letters", run)
+            zero, n = F.lit(0).cast("bigint"), F.count(F.lit(1))
+            came = batch.agg(n.alias("received"), F.count("failure_reason").alias("dead_lettered"), zero.alias("stored"), zero.alias("late"))
+            new = fresh.agg(zero.alias("received"), zero.alias("dead_lettered"), n.alias("stored"), F.count_if("is_late").alias("late"))
+            file_batch(came.unionByName(new), batch_id, f"{root}/counts", run)
         finally:
             fresh.unpersist()
             batch.unpersist()
@@ -127,27 +110,35 @@ def run_complete_stream(src: DataFrame, content: DataFrame, root: str, checkpoin
                         lateness_seconds: float = 30.0, as_of=None, **trigger_args) -> StreamingQuery:
     """One query that fills ``dead_letters``, ``events``, ``sessions``, ``windows`` and ``counts`` below ``root``.
 
-    ``order_col`` (with ``scope``) is the arrival number used for the late flag. A redelivery
-    counts as such if it carries the event's day, which copies do.
+    ``order_col`` (with ``scope``) is the arrival number used for the late flag. A redelivery counts as such if it
+    carries the event's day, which copies do. Run it by ``meter.run_metered`` to count it on its way or to
+    stop it after so many events.
     """
-    sink = complete_sink(content, root, run_name(src.sparkSession, checkpoint), order_col, list(scope), lateness_seconds, as_of)
-    return (src.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(**(trigger_args or trigger())).start())
+    spark = src.sparkSession
+    use_state_store(spark)
+    sink = complete_sink(content, root, run_name(spark, checkpoint), order_col, as_of)
+    return (judged(src, order_col, list(scope), lateness_seconds, as_of).writeStream.foreachBatch(sink).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(**(trigger_args or trigger())).start())
 
 
 def stored_events(spark: SparkSession, root: str) -> DataFrame:
-    return read_filed(spark, f"{root}/events").drop(*FILED)
+    return read_filed(spark, f"{root}/events")
+
+
+def stored_dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    return read_filed(spark, f"{root}/dead_letters")
 
 
 def stored_sessions(spark: SparkSession, root: str, content: DataFrame) -> DataFrame:
     """Sessions of all events so far."""
-    return session_finish(session_merge(read_filed(spark, f"{root}/sessions").drop(*FILED)), content)
+    return session_finish(session_merge(read_filed(spark, f"{root}/sessions")), content)
 
 
 def stored_windows(spark: SparkSession, root: str) -> DataFrame:
-    return tumbling_finish(tumbling_merge(read_filed(spark, f"{root}/windows").drop(*FILED)))
+    return tumbling_finish(tumbling_merge(read_filed(spark, f"{root}/windows")))
 
 
 def stored_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Received, dead-lettered, stored and late events; received less the next two are redeliveries."""
-    return read_filed(spark, f"{root}/counts").groupBy("measure").agg(F.sum("n").alias("n"))
+    """One row: ``received``, ``dead_lettered``, ``stored`` and ``late`` (stored) events; what is left are ``redelivered``."""
+    sums = read_filed(spark, f"{root}/counts").agg(*[F.sum(c).alias(c) for c in ("received", "dead_lettered", "stored", "late")])
+    return sums.withColumn("redelivered", F.col("received") - F.col("dead_lettered") - F.col("stored"))

@@ -26,6 +26,10 @@ def dlq_rate(dlq: DataFrame, ingress: DataFrame, width: str = "5 minutes", slide
     counts = per_slide(dlq, failed, True).unionByName(per_slide(ingress, received, False))
     both = counts.groupBy(F.window("ts", width, slide).alias("w")).agg(
         F.sum("dead").alias("dlq_count"), F.sum("total").alias("ingress_count"))
+    return _rates(both)
+
+
+def _rates(both: DataFrame) -> DataFrame:
     seconds = F.unix_seconds("w.end") - F.unix_seconds("w.start")
     rate = F.col("dlq_count") / seconds.cast("double")
     share = F.col("dlq_count") / F.greatest("ingress_count", F.lit(1))
@@ -35,6 +39,25 @@ def dlq_rate(dlq: DataFrame, ingress: DataFrame, width: str = "5 minutes", slide
         (share > MAX_DLQ_SHARE).alias("share_breach"))
 
 
+def stream_dlq_rate(dlq: DataFrame, ingress: DataFrame, width: str = "5 minutes", slide: str = "1 minute", delay: str = "10 seconds",
+                    failed: str = "failed_at", received: str = "received_at") -> DataFrame:
+    """:func:`dlq_rate` of two streams, a row for each window that the watermark has closed.
+
+    Both sides are counted per slide, the counts are added up per sliding window, and the windows of the two
+    sides meet in a stream-stream join. Windows of one side only come out too, once the
+    other's watermark has passed them. State holds counts only, a row per open slide and window.
+    """
+    def windows(df, ts, name):
+        slides = df.withWatermark(ts, delay).groupBy(F.window(ts, slide).alias("s")).agg(F.count(F.lit(1)).alias("n"))
+        wide = slides.groupBy(F.window(F.window_time("s"), width, slide).alias("w")).agg(F.sum("n").alias(name))
+        return wide.withColumnRenamed("w", f"{name}_w")
+
+    dead, total = windows(dlq, failed, "dlq_count"), windows(ingress, received, "ingress_count")
+    both = dead.join(total, F.col("dlq_count_w") == F.col("ingress_count_w"), "full_outer")
+    return _rates(both.select(F.coalesce("dlq_count_w", "ingress_count_w").alias("w"),
+                              *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("dlq_count", "ingress_count")]))
+
+
 @dataclass(frozen=True)
 class Rule:
     """A metric that must not stay past its limit for ``hold_seconds``."""
@@ -56,23 +79,27 @@ RULES = [
 ]
 
 
+def breaches(metrics: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """Every sample with the rules on its metric: ``alert``, ``severity``, ``hold`` seconds and whether it is ``broken``."""
+    table = metrics.sparkSession.createDataFrame([(r.alert, r.metric, r.op, r.limit, r.hold_seconds, r.severity) for r in rules],
+                                                 "alert string, metric string, op string, bound double, hold bigint, severity string")
+    value, bound = F.col("value"), F.col("bound")
+    broken = (
+        F.when(F.col("op") == ">", value > bound).when(F.col("op") == ">=", value >= bound)
+        .when(F.col("op") == "<", value < bound).when(F.col("op") == "<=", value <= bound).otherwise(value == bound)
+    )
+    # the rule list is a constant of a few rows
+    return metrics.join(F.broadcast(table), "metric").withColumn("broken", broken)
+
+
 def evaluate_alerts(metrics: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """Intervals in which a rule stayed broken at least its hold time.
 
     metrics: metric, series, ts, value. Consecutive broken samples of a series
     form one interval.
     """
-    spark = metrics.sparkSession
-    table = spark.createDataFrame([(r.alert, r.metric, r.op, r.limit, r.hold_seconds, r.severity) for r in rules],
-                                  "alert string, metric string, op string, bound double, hold bigint, severity string")
-    value, bound = F.col("value"), F.col("bound")
-    broken = (
-        F.when(F.col("op") == ">", value > bound).when(F.col("op") == ">=", value >= bound)
-        .when(F.col("op") == "<", value < bound).when(F.col("op") == "<=", value <= bound).otherwise(value == bound)
-    )
     series = Window.partitionBy("alert", "series").orderBy("ts")
-    # the rule list is a constant of a few rows
-    flagged = metrics.join(F.broadcast(table), "metric").withColumn("broken", broken)
+    flagged = breaches(metrics, rules)
     starts = F.col("broken") & ~F.coalesce(F.lag("broken").over(series), F.lit(False))
     marked = flagged.withColumn("starts", starts.cast("int"))
     islands = marked.withColumn("island", F.sum("starts").over(series)).where("broken")
