@@ -46,6 +46,33 @@ def watch_sessions(events: DataFrame, content: DataFrame, watch_mode: str = "sum
     )
 
 
+def watch_partial(events: DataFrame, *by: str) -> DataFrame:
+    """Mergeable state of :func:`watch_sessions` from some of the events, apart for each value of ``by``."""
+    return events.groupBy(*by, "user_id", "session_id", "content_id").agg(
+        F.min("device_type").alias("device_type"), F.min("event_time").alias("session_start"), F.max("event_time").alias("session_end"),
+        F.sum(to_units(F.col("playback_seconds"))).alias("watch_units"), count_type("video_pause").alias("pause_count"),
+        count_type("video_seek").alias("seek_count"), F.max("position_seconds").alias("max_position_seconds"))
+
+
+def watch_merge(parts: DataFrame) -> DataFrame:
+    """Add states together; the result is again a state."""
+    sums = [F.sum(c).alias(c) for c in ("watch_units", "pause_count", "seek_count")]
+    return parts.groupBy("user_id", "session_id", "content_id").agg(
+        F.min("device_type").alias("device_type"), F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+        *sums, F.max("max_position_seconds").alias("max_position_seconds"))
+
+
+def watch_finish(state: DataFrame, content: DataFrame) -> DataFrame:
+    """The rows of :func:`watch_sessions` from a merged state."""
+    info = content.select("content_id", F.col("title").alias("content_title"), "duration_seconds")
+    return state.join(info, "content_id", "left").select(
+        "user_id", "session_id", "content_id", "content_title", "device_type", "session_start", "session_end",
+        (F.col("watch_units") / F.lit(UNITS_PER_SECOND)).alias("total_watch_seconds"), "pause_count", "seek_count",
+        completion_pct(F.col("max_position_seconds"), F.col("duration_seconds")).alias("completion_percentage"),
+        minute_diff(F.col("session_start"), F.col("session_end")).alias("session_duration_minutes"),
+    )
+
+
 def enrich_events(events: DataFrame, content: DataFrame) -> DataFrame:
     """Title and length of the watched item, with defaults for unknown ones."""
     info = content.select(
