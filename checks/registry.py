@@ -11,7 +11,7 @@ from checks import streams
 from checks.given import AS_OF, Given, finish
 from checks.sql import AS_OF as NOW, DEVICE, EV, PLAY_TYPES, completion, minute, rnd, units, with_tables, xavg, xsum
 from marquee.functions import masking, scalars, vectors
-from marquee.operators import factors, governance, hybrid, quality, rollups, rules, sessions, staging, text, vector
+from marquee.operators import erasure, factors, governance, hybrid, pruned, quality, rollups, rules, sessions, staging, text, vector
 from marquee.plans import daily, incremental, marts
 from marquee.session import cut_lineage, scratch_path
 from marquee.sources import events as sources, tables, upsert
@@ -563,6 +563,11 @@ def _(g):
     return marts.content_engagement(g.sessions).select("engagement_date", "content_id", "daily_rank")
 
 
+@check("w02_rank_by_range", "SELECT engagement_date, content_id, daily_rank FROM engagement")
+def _(g):
+    return marts.content_engagement(g.sessions, ranges=13).select("engagement_date", "content_id", "daily_rank")
+
+
 PERFORMANCE = """SELECT e.content_id, content_title, engagement_date, array_to_string(genres, '|') AS genres, language, release_year, director, total_sessions,
     unique_viewers, total_watch_hours, avg_completion_percentage, daily_rank, CAST(sum({u}) OVER (PARTITION BY e.content_id ORDER BY {o}) AS DOUBLE) / 10000.0e0 AS rolling_7d_watch_hours
     FROM engagement e LEFT JOIN content c ON e.content_id = c.content_id"""
@@ -1054,20 +1059,43 @@ def erased(g):
     return governance.erase_users({"users": g.users, "subscriptions": g.subs, "raw_playback_events": g.raw, "fact_watch_sessions": g.sessions}, requested(g))
 
 
-@check("g07_erase_audit", " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, user_id, count(*) AS rows_erased FROM {t} WHERE user_id IN ({REQUESTED}) GROUP BY user_id"
-    for name, t in (("users", "users"), ("subscriptions", "subs"), ("raw_playback_events", "raw"), ("fact_watch_sessions", "sessions"))))
+SQL_ERASED, SQL_KEPT = (" UNION ALL ".join(line.format(name=name, t=t) for name, t in (
+    ("users", "users"), ("subscriptions", "subs"), ("raw_playback_events", "raw"), ("fact_watch_sessions", "sessions"))) for line in (
+    f"SELECT '{{name}}' AS table_name, user_id, count(*) AS rows_erased FROM {{t}} WHERE user_id IN ({REQUESTED}) GROUP BY user_id",
+    f"SELECT '{{name}}' AS name, count(*) AS n FROM {{t}} WHERE user_id NOT IN ({REQUESTED})"))
+
+
+@check("g07_erase_audit", SQL_ERASED)
 def _(g):
     return erased(g)[1]
 
 
-@check("g07_erase_kept", " UNION ALL ".join(
-    f"SELECT '{name}' AS name, count(*) AS n FROM {t} WHERE user_id NOT IN ({REQUESTED})"
-    for name, t in (("users", "users"), ("subscriptions", "subs"), ("raw_playback_events", "raw"), ("fact_watch_sessions", "sessions"))))
+@check("g07_erase_kept", SQL_KEPT)
 def _(g):
     return marts.platform_stats(erased(g)[0])
 
 
+def erased_files(g):
+    """(paths of stored tables after the erasure, audit); the tables are written in several files first."""
+    root = scratch_path(g.spark, "stored")
+    tables = {"users": g.users, "subscriptions": g.subs, "raw_playback_events": g.raw, "fact_watch_sessions": g.sessions}
+    for name, df in tables.items():
+        df.repartitionByRange(6, "user_id").write.parquet(f"{root}/{name}")
+    paths = {name: f"{root}/{name}" for name in tables}
+    return paths, erasure.erase_stored(g.spark, paths, requested(g))
+
+
+@check("g07_erase_stored_audit", SQL_ERASED)
+def _(g):
+    return erased_files(g)[1]
+
+
+@check("g07_erase_stored_kept", SQL_KEPT)
+def _(g):
+    paths, _ = erased_files(g)
+    return marts.platform_stats({name: g.spark.read.parquet(path) for name, path in paths.items()})
+
+
 @check("g08_tombstones", f"SELECT CAST(user_id AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS value, 'ott.user.events.v1' AS topic FROM ({REQUESTED})")
 def _(g):
     return governance.tombstones(requested(g), "ott.user.events.v1")
@@ -1282,6 +1310,44 @@ def _(g):
     return vector.ivf_search(g.vector_queries, index, centres, 10, nprobe=4)
 
 
+@check("v02_pivot_knn", "SELECT query_id, chunk_id, similarity_score, rank FROM hits")
+def _(g):
+    index, centres = vector.ivf_build(g.chunks.select("chunk_id", "vec"), lists=16)
+    return pruned.pivot_knn(g.vector_queries, index, centres, 10)[0]
+
+
+@check("v03_hash_recall", "SELECT count(*) AS exact_hits, true AS found_nine_in_ten FROM hits")
+def _(g):
+    seen = pruned.recall(pruned.hash_knn(g.vector_queries, g.chunks, 10, tables=16), vector_hits(g))
+    return seen.select("exact_hits", (F.col("found") >= 0.9 * F.col("exact_hits")).alias("found_nine_in_ten"))
+
+
+@check("c03_catalog_diff", f"""
+    SELECT chunk_id, CASE WHEN language = 'en' THEN content_hash END AS content_hash,
+      CASE WHEN language <> 'en' THEN 'removed' WHEN release_year > 2020 THEN 'changed' ELSE 'new' END AS change
+    FROM (SELECT {CHUNK_ID} AS chunk_id, sha256(chunk_text) AS content_hash, content_id FROM ({CHUNK_TEXT})) n JOIN content USING (content_id)
+    WHERE language <> 'en' OR release_year > 2020 OR release_year < 2008""")
+def _(g):
+    chunks = text.catalog_chunks(g.movies, g.series)
+    years = chunks.join(g.content.select("content_id", F.col("release_year").alias("year")), "content_id")
+    was = F.when((F.col("language") == "en") & (F.col("year") > 2020), F.lit("older text")).otherwise(F.col("chunk_text"))
+    existing = years.where((F.col("language") != "en") | (F.col("year") >= 2008)).select("chunk_id", F.sha2(was, 256).alias("content_hash"))
+    return text.catalog_diff(chunks.where("language = 'en'"), existing).select("chunk_id", "content_hash", "change")
+
+
+@check("c03_index_upkeep", "SELECT query_id, chunk_id, similarity_score, rank FROM hits")
+def _(g):
+    """An index of older vectors brought up to the chunks, all lists probed."""
+    rows = g.chunks.select("chunk_id", "vec")
+    older = rows.where("chunk_id % 3 > 0").withColumn("vec", F.when(F.col("chunk_id") % 5 == 1, F.reverse("vec")).otherwise(F.col("vec")))
+    leaving = older.select((-F.col("chunk_id") - 1).alias("chunk_id"), "vec")
+    index, centres = vector.ivf_build(older.unionByName(leaving), lists=8)
+    made = vector.list_spread(index, centres)
+    fresh = rows.where("chunk_id % 3 = 0 OR chunk_id % 5 = 1")
+    index, centres = vector.ivf_update(index, centres, fresh, leaving, made, drift=1.05)
+    return vector.ivf_search(g.vector_queries, index, centres, 10, nprobe=1000)
+
+
 @check("v04_answers", f"""
     SELECT query_id, 'What about ' || query_id AS query_text, 'Based on your interest in ''What about ' || query_id || ''', here are top recommendations from our platform:' || chr(10) || chr(10) || '1. **' || list_extract(t, 1)
       || '** is your closest match (relevance: ' || CAST(floor(s1 * 1000.0e0 + 0.5e0)::BIGINT // 10 AS VARCHAR) || '.' || CAST(floor(s1 * 1000.0e0 + 0.5e0)::BIGINT % 10 AS VARCHAR) || '%). It features: ' || x1

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions.scalars import PLAYBACK_TOPIC, as_time, parse_event_time, shift
+from marquee.session import cut_lineage
 from marquee.sources.contracts import CONTRACTS, CORRUPT
 
 PLAYBACK_TYPES = list(CONTRACTS["playback"].event_types)
@@ -70,6 +71,27 @@ def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, rank: st
     return df.withColumn(rank, F.row_number().over(w).cast("bigint")).where(F.col(rank) <= k)
 
 
+def dense_rank_by_range(df: DataFrame, group: str, value: str, rank: str = "rank", ranges: int | None = None) -> DataFrame:
+    """Dense rank by falling ``value`` within ``group`` without a task per group.
+
+    The distinct values are dealt by ranges of (group, value), numbered inside each range, and moved on by the number
+    of values in the earlier ranges of their group, a table of a row per range and group. Rows get the rank of their value by a
+    join, which Spark splits where a value is frequent. Nulls rank last, a null group is a group.
+    """
+    values = df.select(group, value).distinct()
+    dealt = [F.col(group).asc(), F.col(value).desc_nulls_last()]
+    by_range = values.repartitionByRange(ranges, *dealt) if ranges else values.repartitionByRange(*dealt)
+    placed = cut_lineage(by_range.withColumn("_range", F.spark_partition_id()))  # the ranges must not be drawn anew
+    inside = Window.partitionBy("_range", group).orderBy(F.col(value).desc_nulls_last())
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_range", group).agg(F.count(F.lit(1)).alias("_n"))
+    moved = sizes.select("_range", F.col(group).alias("_g"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = placed.withColumn("_at", F.row_number().over(inside))
+    ranked = local.join(moved, (local["_range"] == moved["_range"]) & local[group].eqNullSafe(moved["_g"])).select(
+        F.col("_g"), F.col(value).alias("_v"), (F.col("_at") + F.col("_before")).cast("bigint").alias(rank))
+    return df.join(ranked, df[group].eqNullSafe(ranked["_g"]) & df[value].eqNullSafe(ranked["_v"])).drop("_g", "_v")
+
+
 def row_hash(df: DataFrame) -> Column:
     """Tie-break that does not depend on arrival order."""
     return F.xxhash64(*df.columns)

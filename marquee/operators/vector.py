@@ -10,6 +10,7 @@ from pyspark.sql.types import StructField, StructType, DoubleType
 
 from marquee.functions.scalars import round_half_up
 from marquee.operators.staging import top_k
+from marquee.session import cut_lineage
 
 SCORE_DIGITS = 10
 
@@ -161,3 +162,50 @@ def ivf_search(queries: DataFrame, index: DataFrame, centres: DataFrame, k: int,
     routed = queries.join(probes, "query_id").select("query_id", "vec", "list_id")
     hits = block_top_k(routed, index.select("chunk_id", "vec", "list_id"), k, "query_id", "chunk_id", bucket="list_id", **blocks)
     return hits.select("query_id", "chunk_id", round_half_up(F.col("score"), 4).alias("similarity_score"), "rank")
+
+
+def list_spread(index: DataFrame, centres: DataFrame) -> DataFrame:
+    """(list_id, n, spread): vectors of a list and their mean squared distance to its centre, on unit length."""
+    size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
+    named = centres.select("list_id", F.col("vec").alias("_centre"))
+    gap = F.aggregate(F.zip_with("vec", "_centre", lambda x, y: F.when(F.col("_size") > 0, x / F.col("_size")).otherwise(F.lit(0.0)) - y),
+                      F.lit(0.0), lambda s, d: s + d * d)
+    rows = index.where("vec IS NOT NULL").withColumn("_size", size).join(F.broadcast(named), "list_id")
+    return rows.groupBy("list_id").agg(F.count(F.lit(1)).alias("n"), F.avg(gap).alias("spread"))
+
+
+def ivf_update(index: DataFrame, centres: DataFrame, upserts: DataFrame, removed: DataFrame, spread: DataFrame | None = None,
+               drift: float = 1.5, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """(index, centres) after a change of the catalog: removed ids gone, new and changed vectors (chunk_id, vec) in their nearest list.
+
+    ``spread`` is :func:`list_spread` of the index when its centres were made. A list whose spread has grown beyond ``drift`` times that
+    is split in two by k-means over its own vectors; all other lists and centres stay as they are. Updates of no change
+    change nothing, and a chunk is in one list.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    gone = upserts.select("chunk_id").unionByName(removed.select("chunk_id")).distinct()
+    kept = index.select("chunk_id", "vec", "list_id").join(gone, "chunk_id", "left_anti")
+    usable = upserts.select("chunk_id", "vec").where("vec IS NOT NULL")
+    placed = block_top_k(usable.withColumnRenamed("chunk_id", "query_id"), centres, 1, "query_id", "list_id", min_blocks=1)
+    added = usable.join(placed.select(F.col("query_id").alias("chunk_id"), "list_id"), "chunk_id")
+    now = cut_lineage(kept.unionByName(added.select("chunk_id", "vec", F.col("list_id").cast("int").alias("list_id"))))
+    if spread is None:
+        return now, centres
+    was = spread.select("list_id", F.col("spread").alias("_was"))
+    wide = list_spread(now, centres).join(was, "list_id").where((F.col("n") > 1) & (F.col("spread") > drift * F.col("_was") + 1e-12))
+    drifted = sorted(r[0] for r in wide.select("list_id").collect())  # lists are few
+    made = {r["list_id"]: list(r["vec"]) for r in centres.collect()}
+    fresh = max(made, default=-1) + 1
+    size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
+    for number in drifted:
+        unit = now.where(F.col("list_id") == number).withColumn(
+            "_unit", array_to_vector(F.transform("vec", lambda x: F.when(size > 0, x / size).otherwise(F.lit(0.0)))))
+        model = KMeans(k=2, seed=seed, featuresCol="_unit", predictionCol="_half").fit(unit)
+        halves = model.transform(unit).select("chunk_id", "vec", F.when(F.col("_half") == 0, number).otherwise(fresh).cast("int").alias("list_id"))
+        now = cut_lineage(now.where(F.col("list_id") != number).unionByName(halves))
+        for at, centre in zip((number, fresh), model.clusterCenters()):
+            made[at] = [float(x) for x in centre]
+        fresh += 1
+    return now, index.sparkSession.createDataFrame(sorted(made.items()), "list_id int, vec array<double>")

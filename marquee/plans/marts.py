@@ -9,7 +9,7 @@ from marquee.functions.scalars import (
     UNITS_PER_SECOND, as_time, exact_avg, exact_sum, pct, round_half_up, shift, to_day, to_monday, to_units, week_diff,
 )
 from marquee.operators.sessions import DEFAULT_DURATION, count_type
-from marquee.operators.staging import latest_by_key, top_k, union_all
+from marquee.operators.staging import dense_rank_by_range, latest_by_key, top_k, union_all
 
 
 def daily_user_activity(sessions: DataFrame) -> DataFrame:
@@ -24,8 +24,8 @@ def daily_user_activity(sessions: DataFrame) -> DataFrame:
     )
 
 
-def content_engagement(sessions: DataFrame) -> DataFrame:
-    """Per title and day, with the day's popularity rank."""
+def content_engagement(sessions: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Per title and day, with the day's popularity rank (``ranges`` as in :func:`daily_content_rank`)."""
     day = to_day(F.col("session_start")).alias("engagement_date")
     grouped = sessions.groupBy("content_id", "content_title", day).agg(
         F.count("session_id").alias("total_sessions"),
@@ -33,13 +33,18 @@ def content_engagement(sessions: DataFrame) -> DataFrame:
         exact_sum(F.col("total_watch_seconds")).alias("total_watch_seconds"),
         round_half_up(exact_avg(F.col("completion_percentage")), 2).alias("avg_completion_percentage"),
     )
-    return daily_content_rank(grouped).withColumn(
+    return daily_content_rank(grouped, ranges).withColumn(
         "total_watch_hours", round_half_up(F.col("total_watch_seconds") / 3600.0, 2)
     )
 
 
-def daily_content_rank(engagement: DataFrame) -> DataFrame:
-    """Dense rank by watch time within a day; a day holds at most one row per title."""
+def daily_content_rank(engagement: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Dense rank by watch time within a day; a day holds at most one row per title.
+
+    With ``ranges`` no task holds a whole day: for catalogs whose titles of a day outgrow one.
+    """
+    if ranges is not None:
+        return dense_rank_by_range(engagement, "engagement_date", "total_watch_seconds", "daily_rank", ranges)
     w = Window.partitionBy("engagement_date").orderBy(F.col("total_watch_seconds").desc())
     return engagement.withColumn("daily_rank", F.dense_rank().over(w).cast("bigint"))
 
