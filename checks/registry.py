@@ -776,6 +776,13 @@ def _(g):
     return streams.changed(g)
 
 
+@check("s14_keyed_table", """
+    SELECT user_id, plan_id, status, updated_at, subscription_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, subscription_id DESC) AS rn FROM subs) WHERE rn = 1 AND op <> 'd'""")
+def _(g):
+    return streams.keyed(g)
+
+
 DLQ_WINDOWS = """SELECT w AS window_start, count(*) FILTER (WHERE bad) AS dead, count(*) AS total FROM (
       SELECT failure_reason IS NOT NULL AS bad, unnest(range(0, 5)) AS i, date_trunc('minute', ingestion_time) - to_minutes(i) AS w FROM (%s)) GROUP BY w""" % DEAD
 

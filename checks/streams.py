@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from checks.given import AS_OF, Given
 from marquee.functions.scalars import PLAYBACK_TOPIC
 from marquee.operators import rollups
 from marquee.session import scratch_path
+from marquee.sources import keyed as keyed_tables
 from marquee.sources.contracts import CONTRACTS
 from marquee.sources.upsert import read_changed
 from marquee.streaming import complete, jobs, meter, monitors, sinks, stateful
@@ -164,3 +167,13 @@ def stopped_and_resumed(g: Given) -> tuple[DataFrame, meter.Meter, meter.Meter]:
     first = meter.run_metered(g.spark, start(processingTime="1 second"), stop_after=half)
     second = meter.run_metered(g.spark, start(**ONCE))
     return sinks.read_batches(g.spark, f"{root}/t"), first, second
+
+
+def keyed(g: Given) -> DataFrame:
+    """A change feed out of order in several batches, its first third delivered again at the end, in a bucketed table."""
+    feed = g.subs.select("user_id", "plan_id", "status", "updated_at", "subscription_id", "op")
+    name = "changes_" + uuid.uuid4().hex
+    at = F.pmod(F.xxhash64("subscription_id"), F.lit(300))
+    stream = in_batches(feed, at, 3, last=feed.where(at < 100))
+    run_to_end(stream, keyed_tables.keyed_sink(name, ["user_id"], ["updated_at", "subscription_id"]))
+    return keyed_tables.read_keyed(g.spark, name)
