@@ -1017,15 +1017,20 @@ def _(g):
     return g.users.select("user_id", masking.pseudonymize(uid, "sha256", "salt").alias("salted"), masking.pseudonymize(uid, "raw").alias("raw_id"))
 
 
-@check("g04_hmac")
+def hmac_sql(column: str, key: bytes) -> str:
+    """Keyed SHA-256 as nested hashes over blobs."""
+    inner, outer = (bytes(b ^ pad for b in key.ljust(64, b"\0")).hex() for pad in (0x36, 0x5C))
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(CAST({column} AS VARCHAR)))))"
+
+
+@check("g04_hmac", f"SELECT user_id, {hmac_sql('user_id', b'secret')} AS keyed FROM users")
 def _(g):
     return g.users.select("user_id", masking.pseudonymize(F.col("user_id"), "hmac", "secret").alias("keyed"))
 
 
-@check("g05_apply_catalog", "SELECT user_id, email_masked AS email, phone_masked AS phone, country_code FROM masked_users")
+@check("g05_apply_catalog", f"SELECT {hmac_sql('user_id', b'secret')} AS user_id, email_masked AS email, phone_masked AS phone, country_code FROM masked_users")
 def _(g):
-    kept = [r for r in governance.PII_CATALOG if r[2] != "user_id"]
-    return governance.apply_catalog(g.users, "users", "secret", kept).select("user_id", "email", "phone", "country_code")
+    return governance.apply_catalog(g.users, "users", "secret").select("user_id", "email", "phone", "country_code")
 
 
 # the patterns as RE2 understands them
@@ -1317,6 +1322,12 @@ def _(g):
     return vector.ivf_search(g.vector_queries, index, centres, 10, nprobe=4)
 
 
+@check("v03_ivf_all_lists", "SELECT query_id, chunk_id, similarity_score, rank FROM hits")
+def _(g):
+    index, centres = vector.ivf_build(g.chunks.select("chunk_id", "vec"), lists=16)
+    return vector.ivf_search(g.vector_queries, index, centres, 10, nprobe=16)
+
+
 @check("v02_pivot_knn", "SELECT query_id, chunk_id, similarity_score, rank FROM hits")
 def _(g):
     index, centres = vector.ivf_build(g.chunks.select("chunk_id", "vec"), lists=16)
@@ -1370,7 +1381,17 @@ def _(g):
     return text.answers(queries, hits.withColumn("chunk_text", F.coalesce("t", F.lit("")))).select("query_id", "query_text", "answer", "retrieval_count")
 
 
-@check("b01_run_daily")
+RETENTION_PAIRS = """(SELECT DISTINCT w, min(w) OVER (PARTITION BY user_id) AS c FROM (SELECT DISTINCT user_id, date_trunc('week', activity_date) AS w FROM activity))"""
+COUNTED = {
+    "stg_playback_events": "stg", "stg_search_events": "searches", "stg_content": "content", "stg_users": "(SELECT DISTINCT user_id, device_type, app_version FROM stg)",
+    "int_watch_sessions": "sessions", "int_daily_user_activity": "activity", "int_content_engagement": "engagement",
+    "int_subscription_history": "(SELECT DISTINCT user_id FROM sessions)", "mart_daily_platform_metrics": "daily", "mart_content_performance": "engagement",
+    "mart_user_retention": RETENTION_PAIRS, "mart_recommendation_performance": "(SELECT DISTINCT CAST(event_time AS DATE), model_version FROM recs)",
+    "mart_churn_features": "churn", "ml_user_features": "churn",
+}
+
+
+@check("b01_run_daily", " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM {t}" for name, t in COUNTED.items()))
 def _(g):
     given = {"raw_playback_events": g.raw, "raw_search_events": g.searches, "raw_recommendation_events": g.recs, "dim_content": g.content}
     return daily.run_daily(g.spark, given, "2024-01-31", AS_OF)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # What a masked value looks like.
 NO_EMAIL = "anonymized@example.invalid"
@@ -47,20 +47,32 @@ def _xor_pad(key: bytes, pad: int) -> bytes:
     return bytes(b ^ pad for b in key.ljust(64, b"\0"))
 
 
-def pseudonymize(col: Column, method: str = "hmac", key: str = "") -> Column:
-    """``hmac`` (keyed SHA-256), ``sha256`` (salted) or ``raw``."""
+def secret(key: str) -> DataFrame:
+    """A key as a one-row table of what the hashes need; its values stand in no plan, only the table does."""
+    raw = key.encode()
+    if not raw:
+        raise ValueError("a key is needed")
+    if len(raw) > 64:
+        raise ValueError("key must be at most 64 bytes")
+    return SparkSession.active().createDataFrame([(bytearray(raw), bytearray(_xor_pad(raw, 0x36)), bytearray(_xor_pad(raw, 0x5C)))], "salt binary, inner binary, outer binary")
+
+
+def pseudonymize(col: Column, method: str = "hmac", key: str | DataFrame | None = None) -> Column:
+    """``hmac`` (keyed SHA-256), ``sha256`` (salted) or ``raw``. The first two need a key, as text or as :func:`secret` makes it.
+
+    The key is read by a scalar subquery, so neither plans nor event logs hold it.
+    """
     text = col.cast("string")
     if method == "raw":
         return text
-    if method == "sha256":
-        return F.sha2(F.concat(F.lit(key), text), 256)
-    if method != "hmac":
+    if method not in ("sha256", "hmac"):
         raise ValueError(f"unknown method {method!r}")
-    raw = key.encode()
-    if len(raw) > 64:
-        raise ValueError("key must be at most 64 bytes")
-    inner = F.sha2(F.concat(F.lit(_xor_pad(raw, 0x36)), F.encode(text, "utf-8")), 256)
-    return F.sha2(F.concat(F.lit(_xor_pad(raw, 0x5C)), F.unhex(inner)), 256)
+    known = secret(key or "") if key is None or isinstance(key, str) else key
+    part = lambda name: known.select(name).scalar()
+    bytes_ = F.encode(text, "utf-8")
+    if method == "sha256":
+        return F.sha2(F.concat(part("salt"), bytes_), 256)
+    return F.sha2(F.concat(part("outer"), F.unhex(F.sha2(F.concat(part("inner"), bytes_), 256))), 256)
 
 
 # Free text. Runs of name characters are taken whole (possessively) and only

@@ -27,7 +27,7 @@ ERASED_TABLES = [
 ]
 
 
-def masked(column: str, strategy: str, key: str) -> Column:
+def masked(column: str, strategy: str, key: str | DataFrame | None) -> Column:
     c = F.col(column)
     if strategy == "PARTIAL_EMAIL_MASK":
         return mask_email(c)
@@ -42,8 +42,8 @@ def masked(column: str, strategy: str, key: str) -> Column:
     return c
 
 
-def apply_catalog(df: DataFrame, table: str, key: str = "", catalog: list[tuple] = PII_CATALOG) -> DataFrame:
-    """Mask every column of a table the catalog lists."""
+def apply_catalog(df: DataFrame, table: str, key: str | DataFrame | None = None, catalog: list[tuple] = PII_CATALOG) -> DataFrame:
+    """Mask every column of a table the catalog lists; keyed strategies refuse to run without a key."""
     rules = {c: s for _, t, c, s in catalog if t == table and c in df.columns}
     return df.withColumns({c: masked(c, s, key) for c, s in rules.items()})
 

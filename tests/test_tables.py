@@ -110,6 +110,18 @@ def test_pseudonyms_equal_python(spark):
         assert salted == hashlib.sha256(b"s" + u.encode()).hexdigest()
 
 
+def test_keys_stay_out_of_plans(spark):
+    df = spark.createDataFrame([(5,)], "user_id bigint")
+    masked = governance.apply_catalog(df, "users", "my own key")
+    for mode in ("extended", "formatted"):
+        plan = masked._jdf.queryExecution().explainString(spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+        assert "my own key" not in plan and "[B@" not in plan and "5B4F16" not in plan.upper()
+    assert masked.first()[0] == hmac.new(b"my own key", b"5", hashlib.sha256).hexdigest()
+    for bad in (None, "", "x" * 65):
+        with pytest.raises(ValueError):
+            governance.apply_catalog(df, "users", bad)
+
+
 def test_free_text_masks_whole_text(spark):
     text = "Mail jane.roe@mail.example.com, x@y.zz or ab@c.de; host 10.20.30.40; call +1 (743) 555-3824. " + "word " * 5000 + "end@far.away.org"
     got = spark.createDataFrame([(text,)], "t string").select(masking.mask_free_text(F.col("t"))).first()[0]
