@@ -25,8 +25,12 @@ class Feistel:
         self.key = key
 
     def _add(self, kind: str, step: int, half: int, modulus: int) -> int:
-        h = hashlib.blake2b(f"{kind}|{step}|{half}|{modulus}".encode(), key=self.key, digest_size=16 + (modulus.bit_length() + 7) // 8 if modulus.bit_length() <= 384 else 64)
-        return int.from_bytes(h.digest(), "big") % modulus
+        """A number below ``modulus`` out of at least 128 bits more than it has, so no part of a half stays as it was."""
+        need, text = 16 + (modulus.bit_length() + 7) // 8, f"{kind}|{step}|{half}|{modulus}"
+        if need <= 64:
+            return int.from_bytes(hashlib.blake2b(text.encode(), key=self.key, digest_size=need).digest(), "big") % modulus
+        blocks = (hashlib.blake2b(f"{text}|{n}".encode(), key=self.key, digest_size=64).digest() for n in range(-(-need // 64)))
+        return int.from_bytes(b"".join(blocks), "big") % modulus
 
     def permute(self, kind: str, value: int, a: int, b: int, back: bool = False) -> int:
         left, right = divmod(value, b)

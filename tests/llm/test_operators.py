@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import re
 import zlib
 from collections import Counter
@@ -277,6 +278,24 @@ def test_feistel_permutes():
     assert sorted(f.below("d", v, 101) for v in range(101)) == list(range(101))
 
 
+@pytest.mark.parametrize("labels", [0, 1, 4, 7])
+@pytest.mark.parametrize("head", [1, 10, 64])
+def test_long_values_are_hidden_whole(labels, head):
+    """Up to the longest address that the pattern takes: most places of every part change, and all come back."""
+    name = ("john.smith" * 7)[:head]
+    text = f"{name}@" + "".join("abcdefghij" * 6 + "abc." for _ in range(labels)) + "mail.org"
+    found = pseudonyms.find(text, b"secret")
+    new = pseudonyms.replace(text, found)
+    assert [k for _, _, k, _ in found] == ["email"] and len(new) == len(text)
+    assert pseudonyms.replace(new, pseudonyms.find(new, b"secret", back=True)) == text
+    parts = [(a, b) for a, b in zip(text.replace("@", ".").split("."), new.replace("@", ".").split("."))][:-1]
+    for a, b in parts:
+        assert len(a) < 4 or sum(x == y for x, y in zip(a, b)) <= max(2, len(a) // 4)
+    f = pseudonyms.Feistel(b"key")
+    wide = 26 ** 300
+    assert len({f._add("x", s, 5, wide) * 26 // wide for s in range(40)}) > 10 and max(f._add("x", s, 5, wide) for s in range(40)) > wide // 2
+
+
 def test_pseudonyms(docs, nothing):
     key = b"secret"
     text = ("Card 4111 1111 1111 1111 and 4111111111111111, mail jo.42@mail7.example.com, 10.20.30.40, born 29.02.2000 or 2000-02-29, not 31.02.2000, "
@@ -321,6 +340,10 @@ def test_warc(spark):
     again = scratch_path(spark, "warc-test")
     warc.write_warc(df.repartition(1), again)
     assert warc.write_warc(df.limit(0), scratch_path(spark, "warc-test")).collect() == []
+    files = lambda r: b"".join(warc.read_file(r, f) for f in sorted(x.name for x in pathlib.Path(r.removeprefix("file:")).glob("*.gz")))
+    assert files(root) == files(again) and len(list(warc.members(files(root)))) == len(pages)
+    with pytest.raises(ValueError):
+        list(warc.members(files(root)[:-30]))
 
 
 # --- 8 -------------------------------------------------------------------------------------------
