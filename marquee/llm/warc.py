@@ -16,6 +16,7 @@ from marquee.llm.files import Committed, read_file
 SHARE_BYTES = 1000  # equal payloads from this size on are stored once
 PART_BYTES = 96 << 20  # payload bytes a writing task gets
 FILE_BYTES = 64 << 20  # compressed size at which a file is closed
+STEP_BYTES = 8 << 10  # of a file given to the unpacker at once
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 PAGE, REFERS, LENGTH = "X-Page-Id", "X-Refers-To-Page-Id", "X-Payload-Length"
@@ -64,21 +65,23 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def pages_with_leader(pages: DataFrame) -> tuple[DataFrame, int]:
-    """``page_id url payload digest size refers_to`` (payload null for revisits), and all payload bytes.
+    """``page_id url payload digest size refers_to is_mark``, and all payload bytes.
 
-    Equal payloads of at least ``SHARE_BYTES`` share the record of the largest page id. Digests
-    are grouped on slim rows first; only those with two or more pages are joined back.
+    Equal payloads of at least ``SHARE_BYTES`` share the record of the largest page id. Leaders and revisits are found
+    on slim rows without payloads. A revisit is told by a mark, a row with no payload that sorts before the page's own
+    and so reaches its task in the one shuffle that payloads go through.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     full = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("payload"), F.sha1(payload).alias("digest"), F.octet_length(payload).cast("bigint").alias("size"))
-    slim = stage(full.select("page_id", "digest", "size"), "warc-digests")
+    slim = stage(full.select("page_id", "url", "digest", "size"), "warc-digests")
     shared = (slim.where(F.col("size") >= SHARE_BYTES).groupBy("digest").agg(F.max("page_id").alias("leader"), F.count("*").alias("n"))
               .where((F.col("n") > 1) & F.col("leader").isNotNull()).select("digest", "leader"))
-    revisit = F.col("leader").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("leader"))
-    rows = full.join(shared, "digest", "left").select(
-        "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", "size", F.when(revisit, F.col("leader")).alias("refers_to"))
-    return rows, slim.agg(F.sum("size")).first()[0] or 0
+    revisits = slim.join(shared, "digest").where(~F.col("page_id").eqNullSafe(F.col("leader"))).select("page_id", "url", "digest", "leader").distinct()
+    marks = revisits.select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "digest", F.lit(None).cast("bigint").alias("size"),
+                            F.col("leader").alias("refers_to"), F.lit(True).alias("is_mark"))
+    rows = full.select("*", F.lit(None).cast("bigint").alias("refers_to"), F.lit(False).alias("is_mark"))
+    return rows.unionByName(marks), slim.agg(F.sum("size")).first()[0] or 0
 
 
 def write_warc(pages: DataFrame, root: str, date: str = "2024-01-01T00:00:00Z", level: int = 4) -> DataFrame:
@@ -90,11 +93,12 @@ def write_warc(pages: DataFrame, root: str, date: str = "2024-01-01T00:00:00Z",
     leader's, each is a response. An empty table gives no file. Each record is a gzip member.
     """
     rows, total = pages_with_leader(pages)
+    columns = rows.columns
 
     def write(batches):
         from pyspark import TaskContext
 
-        part, out, n, files = TaskContext.get().partitionId(), None, 0, []
+        part, out, n, files, marked, leader = TaskContext.get().partitionId(), None, 0, [], None, None
 
         def close():
             nonlocal out, n
@@ -103,11 +107,16 @@ def write_warc(pages: DataFrame, root: str, date: str = "2024-01-01T00:00:00Z",
             out, n = None, 0
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "size", "refers_to"))):
+            for page_id, url, payload, digest, size, refers_to, is_mark in zip(*(batch.column(c).to_pylist() for c in columns)):
+                if is_mark:
+                    marked, leader = (page_id, url, digest), refers_to
+                    continue
+                refers_to = leader if marked == (page_id, url, digest) else None
                 if out is None:
                     out = Committed(root, f"part-{part:06d}-{len(files):05d}.warc.gz")
                 packer = zlib.compressobj(level, zlib.DEFLATED, 31)
-                out.write(packer.compress(make_record(*row, date)) + packer.flush())
+                record = make_record(page_id, url, payload if refers_to is None else None, digest, size, refers_to, date)
+                out.write(packer.compress(record) + packer.flush())
                 n += 1
                 if out.size >= FILE_BYTES:
                     close()
@@ -116,19 +125,25 @@ def write_warc(pages: DataFrame, root: str, date: str = "2024-01-01T00:00:00Z",
         if files:
             yield pa.RecordBatch.from_pylist(files)
 
-    order = [F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), F.col("digest")]
+    order = [F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), F.col("digest")]  # of the ranges: a mark goes where its page goes
     parts = max(1, -(-total // PART_BYTES), min(16, total >> 20))
-    made = map_batches(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order),
+    made = map_batches(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, F.col("is_mark").desc()),
                        "file string, part bigint, piece bigint, records bigint, bytes bigint", write)
     return stage(made, "warc-manifest")  # runs the writers once
 
 
 def members(data: bytes):
-    """The gzip members of a file, unpacked one by one."""
-    while data:
-        unpacker = zlib.decompressobj(31)
-        yield unpacker.decompress(data) + unpacker.flush()
-        data = unpacker.unused_data
+    """The gzip members of a file, unpacked one by one; a member that is cut off is an error."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpacker, out = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            some = view[at:at + STEP_BYTES]
+            if not some:
+                raise ValueError("the last record is cut off")
+            out.append(unpacker.decompress(some))
+            at += len(some) - len(unpacker.unused_data)
+        yield b"".join(out)
 
 
 def read_warc(manifest: DataFrame, root: str, payloads: bool = False) -> DataFrame:
