@@ -38,3 +38,19 @@ def test_stages_take_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     for _, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, none, str(tmp_path)).columns == none.columns
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    ddl = "doc_id bigint, text string, n_words int, base_failed boolean, kinds string, ids string, kept string, n_chars bigint"
+    rows = [(1, prose(90, 41), -7, True, "mine", "i", "k", 5), (1, prose(90, 41), -7, True, "mine", "i", "k", 5), (None, prose(80, 42) + " 4111 1111 1111 1111", 2, None, None, None, None, None), (3, None, 1, True, "x", "y", "z", None)]
+    docs = spark.createDataFrame(rows, ddl)
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    good = pipeline.keep_quality(spark, docs, str(tmp_path))
+    assert sorted(map(str, good.collect())) == sorted(str(r) for r in docs.where("text IS NOT NULL").collect())
+    hidden = pipeline.hide_private(spark, docs, str(tmp_path))
+    assert hidden.columns == docs.columns
+    assert sorted(map(str, hidden.drop("text", "n_chars").collect())) == sorted(map(str, docs.drop("text", "n_chars").collect()))
+    assert all(r.n_chars == (r.text and len(r.text)) and "4111 1111" not in (r.text or "") for r in hidden.collect())
+    coded = pipeline.encode(spark, docs, str(tmp_path))
+    assert coded.columns == ["doc_id", "ids", "n_tokens", "decoded"] and coded.count() == 4
+    assert coded.where("doc_id = 3").first().n_tokens == 0
