@@ -156,9 +156,10 @@ def nearest(df: DataFrame, k: int = 5, query_every: int = 50, vec_id: str = "vec
     those with the query's id. Vectors that are null or hold a null, NaN or infinite component
     take no part. A vector shorter than another counts as followed by zeros. Equal scores go to
     the smaller id, a null id (never a query) counts as the largest; equal rows each take a
-    rank. The largest 64-bit integer as an id stands for null. A repeated query row is searched once more and has its ranks twice. Components beyond
-    64 bits are cut to them, and so are scores, before they are ranked. Other columns are not read; an empty table or
-    one without queries gives no rows.
+    rank. The largest 64-bit integer as an id stands for null. A repeated query row is searched
+    once more and has its ranks twice. Components beyond 64 bits are cut to them, and so are
+    scores, before they are ranked. Other columns are not read; an empty table or one without
+    queries gives no rows.
 
     Blocks of queries, ROUND_BYTES at a time, are broadcast to the stored blocks; each task keeps
     k rows per query over all blocks it reads, so what is shuffled does not grow with the pairs.
