@@ -4,12 +4,15 @@ A text's shingles are hashed to 64 bits; texts with the same set are one node. E
 posted under its ``COORDS`` (coordinate, value) pairs. A pair with Jaccard similarity of 0.8
 agrees in about 77 of 96 coordinates and in fewer than 56 with a probability of 3.5e-7 (``MISSED``).
 The number of ``matches`` asked for follows from the similarity, at most that probability for all.
-Pairs that agree in ``matches`` or more are confirmed on their full sets.
+Nodes that share a rare list meet in clusters, where only signatures travel: collisions are counted
+by merging the shorter lists and skipping into the longer ones. Full sets are fetched for nodes of
+pairs that agree in ``matches`` or more, and confirm them.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from math import comb
 
 import numpy as np
@@ -112,46 +115,69 @@ def postings(nodes: DataFrame) -> DataFrame:
     return map_batches(nodes.select("node", "signature"), "key bigint, node bigint", run)
 
 
-def _with_counts(lists: DataFrame, matches: int) -> DataFrame:
-    """(key, node, n) of the lists with two or more nodes, for nodes on ``matches`` or more such lists."""
-    counts = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(lists.join(counts, "key").select("key", "node", "n"), "shared-lists")
-    enough = shared.groupBy("node").agg(F.count("*").alias("on")).where(F.col("on") >= matches)
-    return shared.join(enough, "node").select("key", "node", "n", "on")
-
-
 def hub_clusters(nodes: DataFrame, matches: int) -> DataFrame:
     """(hub, node): every pair that agrees in ``matches`` coordinates meets under at least one hub.
 
-    Only nodes on ``matches`` shared lists can have a partner; their lists are counted anew among
-    themselves. The prefix of a node are its rarest lists, all but ``matches - 1``: a partner
-    shares one of them, so the longer lists are skipped, and probed only by comparing signatures.
-    A list's hub is its node with the longest lists in all; its nodes meet there once, however
-    many lists they share.
+    Only nodes on ``matches`` lists with two or more nodes can have a partner. The prefix of a node
+    are its rarest lists, all but ``matches - 1``: a partner shares one of them. A list's hub is its
+    node with the longest lists in all; its nodes meet there once, however many lists they share.
     """
-    first = _with_counts(postings(nodes), matches)
-    lists = stage(_with_counts(first.select("key", "node"), matches), "lists")
+    lists = postings(nodes)
+    counts = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage(lists.join(counts, "key").select("key", "node", "n"), "shared-lists")
     rarest = Window.partitionBy("node").orderBy("n", "key")  # at most COORDS rows
-    weight = F.sum("n").over(Window.partitionBy("node"))
-    prefix = (lists.withColumn("place", F.row_number().over(rarest)).withColumn("weight", weight)
+    whole = Window.partitionBy("node")
+    prefix = (shared.select("key", "node", F.row_number().over(rarest).alias("place"), F.count("*").over(whole).alias("on"), F.sum("n").over(whole).alias("weight"))
               .where(F.col("place") <= F.col("on") - (matches - 1)).select("key", "node", "weight"))
     prefix = stage(prefix, "prefix-lists")
     hubs = prefix.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"), F.count("*").alias("n")).where("n > 1")
     return stage(prefix.join(hubs.select("key", F.col("top.node").alias("hub")), "key").select("hub", "node").distinct(), "clusters")
 
 
+class Lists:
+    """The postings of a block of nodes, merged for one probe at a time."""
+
+    def __init__(self, signatures: np.ndarray):
+        self.signatures = signatures
+        place = np.arange(COORDS, dtype=np.int64)[:, None] << 32
+        keys = signatures.T.astype(np.int64) + place
+        order = np.argsort(keys, axis=1, kind="stable")
+        self.keys, self.posted = np.take_along_axis(keys, order, 1).ravel(), order.ravel()
+
+    def collisions(self, probes: np.ndarray, matches: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per probe (nodes, counts): those of the block that agree in ``matches`` coordinates or more.
+
+        A probe's shorter lists, all but ``matches - 1``, are merged and counted; the longer ones are
+        skipped, and looked into only for the nodes that the merge met.
+        """
+        wanted = probes.astype(np.int64) + (np.arange(COORDS, dtype=np.int64) << 32)
+        low, high = (np.searchsorted(self.keys, wanted, side) for side in ("left", "right"))
+        lengths = high - low
+        nothing = np.zeros(0, np.int64)
+        for probe, start, n in zip(probes, low, lengths):
+            if np.count_nonzero(n) < matches:
+                yield nothing, nothing
+                continue
+            order = np.argsort(n, kind="stable")
+            short, long = order[:COORDS - matches + 1], order[COORDS - matches + 1:]
+            n = n[short]
+            at = np.arange(n.sum()) + np.repeat(start[short] - (np.cumsum(n) - n), n)
+            met, counts = np.unique(self.posted[at], return_counts=True)
+            counts = counts + (self.signatures[met][:, long] == probe[long]).sum(axis=1)
+            yield met[counts >= matches], counts[counts >= matches]
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, shingles, signature) of the wanted nodes (node, doc_id), from the texts of these documents."""
+    """(node, shingles) of the wanted nodes (node, doc_id), from the texts of these documents."""
     ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
     some = docs.join(ids, docs["doc_id"].eqNullSafe(ids["wanted_id"]), "left_semi").select("text")
 
     def run(batch):
         shingler = Shingler(n)
         sets = [shingler(t) for t in texts(batch, "text")]
-        return {"node": [node_of(s) for s in sets], "shingles": [s.tobytes() for s in sets],
-                "signature": [signature(s).tobytes() for s in sets]}
+        return {"node": [node_of(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
 
-    made = with_columns(some, {"node": "bigint", "shingles": "binary", "signature": "binary"}, run).drop("text")
+    made = with_columns(some, {"node": "bigint", "shingles": "binary"}, run).drop("text")
     return stage(made.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
 
@@ -181,38 +207,57 @@ class Forest:
         self.parent[self.find(a)] = self.find(b)
 
 
-def _columns(table: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarray]:
-    sets = [np.frombuffer(x, _U) for x in table.column("shingles").to_pylist()]
-    sigs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, COORDS)
-    return table.column("node").to_pylist(), sets, sigs
+def _signatures(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, COORDS)
+
+
+def _sets(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(x, _U) for x in table.column("shingles").to_pylist()]
 
 
 def _links(rows: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in rows], pa.int64()), "b": pa.array([b for _, b in rows], pa.int64())})
 
 
-def star_links(clusters: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
-    """(a, b): links between a hub and its nodes; a large cluster is dealt over many tasks, each with the hub's set."""
-    sizes = clusters.groupBy("hub").agg(F.count("*").alias("n"))
-    dealt = clusters.where("hub <> node").join(sizes, "hub").select(
+def _dealt(stars: DataFrame) -> DataFrame:
+    """(hub, part, node): the nodes of a hub over many tasks if there are many, the hub itself in each of them."""
+    sizes = stars.groupBy("hub").agg(F.count("*").alias("n"))
+    dealt = stars.where("hub <> node").join(sizes, "hub").select(
         "hub", "node", F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(1))).alias("part"))
-    centres = dealt.select("hub", "part").distinct().withColumn("node", F.col("hub"))
-    rows = dealt.unionByName(centres).join(sets, "node")
+    return dealt.unionByName(dealt.select("hub", "part").distinct().withColumn("node", F.col("hub")))
+
+
+def star_pairs(clusters: DataFrame, signatures: DataFrame, matches: int) -> DataFrame:
+    """(hub, node): the nodes that agree with their hub in ``matches`` coordinates."""
+
+    def run(key, table):
+        nodes, sigs = table.column("node").to_numpy(), _signatures(table)
+        same = (sigs == sigs[np.flatnonzero(nodes == key[0].as_py())[0]]).sum(axis=1)
+        near = nodes[(same >= matches) & (nodes != key[0].as_py())]
+        return pa.table({"hub": pa.array(np.full(len(near), key[0].as_py(), np.int64)), "node": pa.array(near)})
+
+    return _dealt(clusters).join(signatures, "node").groupBy("hub", "part").applyInArrow(run, "hub bigint, node bigint")
+
+
+def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of a hub and a node that the full sets confirm."""
 
     def run(key, table):
-        nodes, sets_, sigs = _columns(table)
+        nodes, sets_ = table.column("node").to_pylist(), _sets(table)
         hub = nodes.index(key[0].as_py())
-        near = np.flatnonzero((sigs == sigs[hub]).sum(axis=1) >= matches)
-        return _links([(nodes[hub], nodes[i]) for i in near.tolist() if i != hub and similar(sets_[hub], sets_[i], percent)])
+        return _links([(nodes[hub], node) for node, s in zip(nodes, sets_) if node != nodes[hub] and similar(sets_[hub], s, percent)])
 
-    return rows.groupBy("hub", "part").applyInArrow(run, "a bigint, b bigint")
+    return _dealt(pairs).join(sets, "node").groupBy("hub", "part").applyInArrow(run, "a bigint, b bigint")
 
 
-def pair_links(clusters: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, matches: int) -> DataFrame:
-    """(a, b): links that join different components, in clusters whose nodes are not yet one component.
+PLACED = "hub bigint, node bigint, label bigint, own int, left int, right int"
 
-    A cluster is cut into blocks; every pair of blocks is one task that compares the signatures
-    of nodes in different components, confirms the closest first and skips pairs it has joined.
+
+def open_nodes(clusters: DataFrame, signatures: DataFrame, labels: DataFrame, matches: int) -> DataFrame:
+    """``PLACED`` rows of the nodes that agree in ``matches`` coordinates with one of another component.
+
+    Only clusters whose nodes are not yet one component are looked at. They are cut into blocks;
+    every pair of blocks is one task that counts collisions and names the nodes, not their pairs.
     """
     known = clusters.join(labels, "node", "left").select("hub", "node", F.coalesce("label", "node").alias("label"))
     sizes = known.groupBy("hub").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
@@ -220,26 +265,46 @@ def pair_links(clusters: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     placed = known.join(sizes, "hub").select("hub", "node", "label", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"))
     other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = other.select("hub", "node", "label", "own", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"))
-    rows = pairs.join(sets, "node")
+    names = [x.split()[0] for x in PLACED.split(", ")]
+
+    def run(key, table):
+        used = np.zeros(table.num_rows, bool)
+        for i, js, _ in _apart(key, table, matches):
+            used[i] = True
+            used[js] = True
+        return table.select(names).filter(pa.array(used))
+
+    return pairs.join(signatures, "node").groupBy("hub", "left", "right").applyInArrow(run, PLACED)
+
+
+def _apart(key, table: pa.Table, matches: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, rows, counts): a node of the left block and those of the right that collide often enough, labelled otherwise."""
+    sigs, own = _signatures(table), table.column("own").to_numpy()
+    labels = table.column("label").to_numpy()
+    left, right = (np.flatnonzero(own == key[k].as_py()) for k in (1, 2))
+    if not len(left) or not len(right):
+        return
+    for i, (js, counts) in zip(left.tolist(), Lists(sigs[right]).collisions(sigs[left], matches)):
+        js = right[js]
+        ok = (labels[js] != labels[i]) & ((js > i) | (key[1].as_py() != key[2].as_py()))
+        if ok.any():
+            yield i, js[ok], counts[ok]
+
+
+def pair_links(placed: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """(a, b): links that join different components; the closest are confirmed first and pairs already joined are skipped."""
 
     def run(key, table):
-        nodes, sets_, sigs = _columns(table)
-        label, own = table.column("label").to_pylist(), np.array(table.column("own").to_pylist())
-        left, right = (np.flatnonzero(own == key[k].as_py()) for k in (1, 2))
-        labels_, forest, out = np.unique(label, return_inverse=True)[1], Forest(set(label)), []
-        found = []
-        for i in left.tolist():
-            js = right[right > i] if key[1].as_py() == key[2].as_py() else right
-            js = js[labels_[js] != labels_[i]]
-            n = (sigs[js] == sigs[i]).sum(axis=1)
-            found += [(-int(m), i, j) for m, j in zip(n[n >= matches].tolist(), js[n >= matches].tolist())]
+        nodes, sets_, label = table.column("node").to_pylist(), _sets(table), table.column("label").to_pylist()
+        forest, out = Forest(set(label)), []
+        found = [(-n, i, j) for i, js, counts in _apart(key, table, matches) for n, j in zip(counts.tolist(), js.tolist())]
         for _, i, j in sorted(found):
             if forest.find(label[i]) != forest.find(label[j]) and similar(sets_[i], sets_[j], percent):
                 forest.join(label[i], label[j])
                 out.append((nodes[i], nodes[j]))
         return _links(out)
 
-    return rows.groupBy("hub", "left", "right").applyInArrow(run, "a bigint, b bigint")
+    return placed.join(sets, "node").groupBy("hub", "left", "right").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame:
@@ -260,10 +325,13 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     classes = stage(filled.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes")
     nodes = filled.select("node", "signature").dropDuplicates(["node"])
     clusters = hub_clusters(nodes, matches)
-    wanted = clusters.select("node").distinct().join(classes, "node")
-    sets = sets_of(docs, wanted, n)
-    star = stage(star_links(clusters, sets, percent, matches), "star-links")
-    rest = stage(pair_links(clusters, sets, components(star), percent, matches), "pair-links")
+    held = stage(nodes.join(clusters.select("node").distinct(), "node", "left_semi"), "cluster-signatures")
+    pairs = stage(star_pairs(clusters, held, matches), "star-pairs")
+    ends = pairs.select("node").union(pairs.select("hub")).distinct()
+    star = stage(star_links(pairs, sets_of(docs, ends.join(classes, "node"), n), percent), "star-links")
+    placed = stage(open_nodes(clusters, held, components(star), matches), "open-nodes")
+    open_sets = sets_of(docs, placed.select("node").distinct().join(classes, "node"), n)
+    rest = stage(pair_links(placed.join(held, "node"), open_sets, percent, matches), "pair-links")
     labels = components(star.union(rest))
     lowest = labels.join(classes, "node").groupBy("label").agg(F.min("doc_id").alias("low"))
     of_node = classes.join(labels.join(lowest, "label").select("node", "low"), "node", "left").select(

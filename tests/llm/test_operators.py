@@ -393,6 +393,18 @@ def test_near_duplicates_below_80_percent(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(d, d - d % 2) for d, _ in rows}
 
 
+@pytest.mark.parametrize("values,matches", [(2, 56), (3, 40), (2, 1), (2, 96)])
+def test_merged_lists_count_all_collisions(values, matches):
+    random = np.random.default_rng(values * 100 + matches)
+    some = random.integers(0, values, (90, neardup.COORDS), dtype=np.uint32) * np.uint32(0xFFFFFFFF // (values - 1))
+    posted, probes = np.concatenate([some[:60], some[:3]]), some[30:]
+    same = (probes[:, None, :] == posted[None, :, :]).sum(axis=2)
+    got = list(neardup.Lists(posted).collisions(probes, matches))
+    assert len(got) == len(probes)
+    for row, (nodes, counts) in zip(same, got):
+        assert dict(zip(nodes.tolist(), counts.tolist())) == {j: n for j, n in enumerate(row.tolist()) if n >= matches}
+
+
 def test_matches_follow_the_similarity():
     assert neardup.matches_for(80) == 56 and neardup.matches_for(100) == neardup.COORDS
     assert all(neardup.missed(neardup.matches_for(p), p) <= neardup.MISSED < 4e-7 for p in range(20, 101))
