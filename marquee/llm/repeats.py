@@ -268,19 +268,6 @@ def _groups(table: pa.Table) -> tuple[dict[int, list[Occurrence]], list[tuple]]:
     return groups, list(zip(doc, key, place))
 
 
-def repeat_groups(rows: DataFrame, buckets: int) -> DataFrame:
-    """(length, occurrences of (doc_id, text_hash, start)): every maximal repeat around the anchors, all occurrences each."""
-
-    def run(table):
-        groups, at = _groups(table)
-        out = [(left + right, [dict(zip(("doc_id", "text_hash", "start"), (*at[o.row][:2], at[o.row][2] - left))) for o in some])
-               for group in groups.values() if len(group) > 1 for left, right, some in maximal_repeats(group)]
-        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int64())]))
-        return pa.table({"length": pa.array([n for n, _ in out], pa.int64()), "occurrences": pa.array([o for _, o in out], kind)})
-
-    return _bucketed(rows, buckets).applyInArrow(run, "length bigint, occurrences array<struct<doc_id:bigint,text_hash:bigint,start:bigint>>")
-
-
 def _bucketed(rows: DataFrame, buckets: int):
     return rows.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"))
 
