@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions.scalars import category_of, partition_time
@@ -9,6 +11,8 @@ from marquee.operators.staging import event_instant
 from marquee.sources.upsert import exists, kept, overwrite_partitions, upsert_path
 
 LAKE_PARTITIONS = ["category", "date", "hour"]
+# who wrote a file: one batch of a stream, or one call
+WRITER = "written_by"
 # hour of the categories that are filed by day only
 NO_HOUR = "all"
 
@@ -25,21 +29,27 @@ def lake_columns(df: DataFrame, as_of, topic: str = "topic") -> DataFrame:
     })
 
 
-def write_lake(df: DataFrame, root: str, as_of, topic: str = "topic") -> None:
-    """Append to the archive.
+def write_lake(df: DataFrame, root: str, as_of, topic: str = "topic", writer: str | None = None) -> None:
+    """Add to the archive; with the name of an earlier ``writer`` its files in the folders reached are replaced.
 
     The rebalance hint brings the rows of one folder together and splits the
     folders of busy hours, so files are neither tiny nor written by one task.
     """
     filed = lake_columns(df, as_of, topic)
-    (filed.hint("rebalance", *LAKE_PARTITIONS).write.mode("append").partitionBy(*LAKE_PARTITIONS)
-     .option("compression", "snappy").parquet(root))
+    file_lake(filed.hint("rebalance", *LAKE_PARTITIONS), root, writer or f"batch-{uuid.uuid4().hex}")
+
+
+def file_lake(filed: DataFrame, root: str, writer: str) -> None:
+    """Write filed rows under their writer's name, below category, day and hour."""
+    rows = filed.withColumn(WRITER, F.lit(writer))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+     .partitionBy(*LAKE_PARTITIONS, WRITER).parquet(root))
 
 
 def read_lake(spark: SparkSession, root: str, date: str, category: str | None = None, schema=None) -> DataFrame:
     """Records of one day; the filters prune folders."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(root).where(F.col("date") == F.lit(date))
+    df = reader.parquet(root).where(F.col("date") == F.lit(date)).drop(WRITER)
     if category is not None:
         df = df.where(F.col("category") == category)
     # folder names made of digits are read as numbers; hours are text

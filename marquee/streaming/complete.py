@@ -21,10 +21,10 @@ from marquee.operators.staging import event_instant, to_dlq, validate_events
 from marquee.sources.upsert import exists, file_system, kept, overwrite_partitions
 from marquee.streaming.jobs import trigger, typed
 from marquee.streaming.meter import observed
-from marquee.streaming.sinks import BATCH
+from marquee.streaming.sinks import BATCH, RUN
 from marquee.streaming.stateful import flag_late, use_state_store
 
-RUN, DAY = "run_id", "event_day"
+DAY = "event_day"
 FLAGS = ["failure_reason", "is_late", "late_count"]
 
 

@@ -15,9 +15,9 @@ from marquee.operators.sessions import (
 )
 from marquee.operators.staging import event_instant, split_valid, stg_playback_events, to_dlq, validate_events
 from marquee.sources.contracts import CONTRACTS
-from marquee.sources.lake import LAKE_PARTITIONS, lake_columns
+from marquee.sources.lake import LAKE_PARTITIONS, file_lake, lake_columns
 from marquee.sources.upsert import exists, file_system, kept, overwrite_partitions
-from marquee.streaming.sinks import BATCH, foreach_batch_sink, write_batch
+from marquee.streaming.sinks import BATCH, RUN, current_run, foreach_batch_sink, write_batch
 
 LATENESS = "30 seconds"
 SESSION_TIMEOUT = "30 minutes"
@@ -101,7 +101,7 @@ def late_flag_sink(root: str, lateness_seconds: float, order_col: str, scope: li
         try:
             marks = None
             if exists(spark, path):
-                past = spark.read.parquet(path).where(F.col(BATCH) < batch_id)
+                past = spark.read.parquet(path).where((F.col(RUN) == current_run(spark)) & (F.col(BATCH) < batch_id))
                 marks = past.groupBy(*scope).agg(F.max("high_mark").alias("high_mark"))
             high = batch.groupBy(*scope).agg(F.max("event_time").alias("high_mark"))
             flagged = late_flag(batch, order_col, lateness_seconds, scope, start=marks)
@@ -135,16 +135,20 @@ def run_until(queries: list[StreamingQuery], seconds: float | None = None) -> bo
 
 def write_lake_stream(df: DataFrame, root: str, checkpoint: str, topic: str = "topic", writers: int | None = None,
                       **trigger_args) -> StreamingQuery:
-    """Archive a stream by category, day and hour.
+    """Archive a stream by category, day and hour, next to what :func:`write_lake` and other streams add.
 
-    Without ``writers`` every task writes its own files, which costs no shuffle;
+    Every batch has files of its own in the folders it reaches, named by run and batch: tried again it
+    replaces them. Without ``writers`` every task writes its own files, which costs no shuffle;
     with it the rows of one folder meet in that many tasks, which gives fewer files.
     """
     filed = lake_columns(df, F.current_timestamp(), topic)
     if writers is not None:
         filed = filed.repartition(*LAKE_PARTITIONS, F.pmod(F.xxhash64("event_id"), F.lit(writers)))
-    return (filed.writeStream.format("parquet").option("path", root).option("checkpointLocation", checkpoint)
-            .option("compression", "snappy").partitionBy(*LAKE_PARTITIONS).outputMode("append")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        file_lake(batch, root, f"{current_run(batch.sparkSession)}-{batch_id}")
+
+    return (filed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(**(trigger_args or trigger())).start())
 
 

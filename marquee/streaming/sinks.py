@@ -1,4 +1,4 @@
-"""Sinks for micro-batches: a batch delivered twice leaves one copy."""
+"""Sinks for micro-batches: a batch delivered twice leaves one copy, and a new checkpoint replaces nothing."""
 
 from __future__ import annotations
 
@@ -9,13 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from marquee.operators.rollups import rollup_merge, rollup_partial
 from marquee.sources.upsert import apply_changes_path, exists, kept, upsert_path
 
-BATCH = "batch_id"
+RUN, BATCH = "run_id", "batch_id"
+BY_HAND = "by_hand"
+
+
+def current_run(spark: SparkSession) -> str:
+    """The id of the stream whose batch is being written. It is kept in the checkpoint, so batch
+    numbers that start anew with a new checkpoint belong to another run."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or BY_HAND
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write the rows of one batch under its number, replacing an earlier try."""
-    (df.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH).parquet(path))
+    """Write the rows of one batch under its run and number, replacing an earlier try."""
+    rows = df.withColumns({RUN: F.lit(current_run(df.sparkSession)), BATCH: F.lit(batch_id)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN, BATCH).parquet(path)
 
 
 def foreach_batch_sink(tables: dict[str, Callable[[DataFrame], DataFrame]], root: str) -> Callable[[DataFrame, int], None]:
@@ -70,8 +77,8 @@ def rollup_sink(grain: str, path: str) -> Callable[[DataFrame, int], None]:
 
 def read_rollup(spark: SparkSession, grain: str, path: str) -> DataFrame:
     """The merged state of all batches."""
-    return rollup_merge(spark.read.parquet(path).drop(BATCH), grain)
+    return rollup_merge(spark.read.parquet(path).drop(RUN, BATCH), grain)
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path).drop(BATCH) if exists(spark, path) else None
+    return spark.read.parquet(path).drop(RUN, BATCH) if exists(spark, path) else None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from marquee.operators import rollups, sessions
 from marquee.operators.staging import stg_playback_events
 from marquee.sources.events import decode_json, read_event_stream
-from marquee.sources.lake import read_lake
+from marquee.sources.lake import read_lake, write_lake
 from marquee.streaming import jobs, sinks
 from tests.fixtures import AS_OF, as_json, at, content_df, event, events_df
 
@@ -102,6 +102,38 @@ def test_repeated_batch_is_written_once(spark, tmp_path, rows):
     assert rows(spark.read.parquet(f"{tmp_path}/ids"), "event_id") == [("a",), ("a",), ("b",)]
 
 
+def test_new_checkpoint_replaces_nothing(spark, tmp_path, rows):
+    """Batch numbers start anew with a checkpoint; what an earlier run wrote stays."""
+    out = str(tmp_path / "out")
+    for name in ("a", "b"):
+        put(str(tmp_path / name), "1.txt", [as_json(event(name))])
+        collect_stream(source(spark, str(tmp_path / name)).select("event_id"), out, str(tmp_path / f"check-{name}"))
+    assert rows(sinks.read_batches(spark, f"{out}/t")) == [("a",), ("b",)]
+
+
+def test_archive_of_several_writers(spark, tmp_path, rows):
+    """Two streams and a batch job fill one archive; a batch that comes again replaces itself."""
+    lake, topic = str(tmp_path / "lake"), F.lit("ott.playback.events.v1")
+    write_lake(events_df(spark, [event("batch")]).withColumn("topic", topic), lake, AS_OF)
+
+    def archive(name):
+        stream = source(spark, str(tmp_path / name)).withColumn("topic", topic).drop("_corrupt_record")
+        finish(jobs.write_lake_stream(stream, lake, str(tmp_path / f"check-{name}"), **NOW))
+
+    for name in ("a", "b"):
+        put(str(tmp_path / name), "1.txt", [as_json(event(f"{name}1"))])
+        put(str(tmp_path / name), "2.txt", [as_json(event(f"{name}2"))])
+        archive(name)
+    write_lake(events_df(spark, [event("more")]).withColumn("topic", topic), lake, AS_OF)
+    # the last batch of one stream was written, but its commit is lost
+    for commit in ("1", ".1.crc"):
+        os.remove(tmp_path / "check-a/commits" / commit)
+    archive("a")
+    got = read_lake(spark, lake, "2024-03-01", "playback")
+    assert rows(got, "event_id") == [("a1",), ("a2",), ("b1",), ("b2",), ("batch",), ("more",)]
+    assert "written_by" not in got.columns
+
+
 def test_windows_equal_batch(spark, tmp_path, rows):
     rows_in = [event(f"e{i}", ["video_play", "video_pause"][i % 2], user=f"u{i % 3}", content=f"c{i % 2}", play=float(i),
                      time=str(at("2024-03-01 10:00:00") + dt.timedelta(seconds=i * 25))) for i in range(40)]
@@ -112,7 +144,7 @@ def test_windows_equal_batch(spark, tmp_path, rows):
     stream = jobs.typed(source(spark, src)).withWatermark("event_time", "30 seconds")
     got = collect_stream(sessions.tumbling_metrics(stream), str(tmp_path / "o"), str(tmp_path / "c"))
     want = sessions.tumbling_metrics(events_df(spark, rows_in))
-    assert rows(got.drop("batch_id")) == rows(want)
+    assert rows(got.drop("batch_id", "run_id")) == rows(want)
 
 
 def test_rollup_streams(spark, tmp_path, rows):
@@ -126,7 +158,7 @@ def test_rollup_streams(spark, tmp_path, rows):
     for grain, make, exact in (("content_hourly", jobs.stream_content_hourly, rollups.content_hourly),
                                ("platform_daily", jobs.stream_platform_daily, rollups.platform_daily)):
         stream = jobs.typed(source(spark, src)).withWatermark("event_time", "30 seconds")
-        state = collect_stream(make(stream), str(tmp_path / f"o{grain}"), str(tmp_path / f"c{grain}")).drop("batch_id")
+        state = collect_stream(make(stream), str(tmp_path / f"o{grain}"), str(tmp_path / f"c{grain}")).drop("batch_id", "run_id")
         assert rows(rollups.rollup_finish(state, grain)) == rows(exact(batch))
         # partial states per batch, merged on read
         path = str(tmp_path / f"p{grain}")
