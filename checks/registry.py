@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks import streams
 from checks.given import AS_OF, Given, finish
@@ -14,7 +15,8 @@ from marquee.functions import masking, scalars, vectors
 from marquee.operators import erasure, factors, governance, hybrid, pruned, quality, rollups, rules, sessions, staging, text, vector
 from marquee.plans import daily, incremental, marts
 from marquee.session import cut_lineage, scratch_path
-from marquee.sources import events as sources, tables, upsert
+from marquee.sources import events as sources, lake, tables, upsert
+from marquee.sources.contracts import CONTRACTS
 from marquee.streaming import complete, jobs, monitors, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,11 +43,42 @@ DONE = "count(*) FILTER (WHERE event_type = 'video_complete')"
 # --- sources and sinks ------------------------------------------------------
 
 
-@check("s02_read_events", "SELECT event_id, schema_version, user_id FROM raw")
+@check("s02_read_events", "SELECT CAST(event_id AS VARCHAR) AS event_id, schema_version, CAST(user_id AS VARCHAR) AS user_id, event_time FROM raw")
 def _(g):
-    from marquee.sources.contracts import CONTRACTS
+    path, schema = scratch_path(g.spark, "events"), CONTRACTS["playback"].schema
+    g.raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.parquet(path)
+    return sources.read_events(g.spark, path, "playback").select("event_id", "schema_version", "user_id", F.col("event_time").cast("timestamp").alias("event_time"))
 
-    return CONTRACTS["playback"].with_defaults(g.raw).select("event_id", "schema_version", "user_id")
+
+# texts that are no JSON keep nothing but themselves
+DECODED = """
+    SELECT CASE WHEN ok THEN CAST(event_id AS VARCHAR) END AS event_id, CASE WHEN ok THEN CAST(user_id AS VARCHAR) END AS user_id,
+      schema_version, CASE WHEN ok THEN content_id END AS content_id, CASE WHEN ok THEN position_seconds END AS position_seconds, CASE WHEN NOT ok THEN 'not json' END AS broken
+    FROM (SELECT *, coalesce(content_id, '') <> 'ghost_000092' AS ok FROM raw)"""
+
+
+def event_text(g):
+    """The deliveries as text files, a JSON object a line."""
+    path = scratch_path(g.spark, "event-text")
+    g.raw_json.select("value").write.text(path)
+    return path
+
+
+def decoded_rows(df):
+    return df.select("event_id", "user_id", "schema_version", "content_id", "position_seconds", F.col("_corrupt_record").alias("broken"))
+
+
+@check("s01_event_stream", DECODED)
+def _(g):
+    root = scratch_path(g.spark, "decoded")
+    stream = sources.read_event_stream(g.spark, "playback", "text", path=event_text(g), maxFilesPerTrigger="4")
+    streams.run_to_end(decoded_rows(stream), sinks.foreach_batch_sink({"t": lambda d: d}, root))
+    return sinks.read_batches(g.spark, f"{root}/t")
+
+
+@check("s03_contract", DECODED)
+def _(g):
+    return decoded_rows(sources.read_events(g.spark, event_text(g), "playback", "text"))
 
 
 @check("s04_schema_drift", """
@@ -88,10 +121,10 @@ def _(g):
         F.count(F.lit(1)).alias("n"), F.sum(F.try_to_number(F.get_json_object("failed_event", "$.event_id"), F.lit("9999999999999")).cast("bigint")).alias("event_ids"))
 
 
-@check("s10_relational_source", "SELECT * FROM users")
+@check("s10_relational_source", "SELECT c_custkey AS user_id, c_name AS name, c_nationkey AS country, c_acctbal AS balance FROM customer")
 def _(g):
-    return tables.read_table(g.spark, f"{g.dir}/customer.parquet").select("c_custkey").join(
-        g.users, F.col("c_custkey") == F.col("user_id")).drop("c_custkey")
+    rows = tables.read_table(g.spark, g.dir, pathGlobFilter="customer.parquet")
+    return rows.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("country"), F.col("c_acctbal").alias("balance"))
 
 
 @check("s11_sync_content", """
@@ -769,6 +802,29 @@ def _(g):
     return streams.archived(g)
 
 
+@check("s05_archive_of_both", "SELECT event_id, ingestion_time, 'playback' AS category, strftime(event_time, '%Y-%m-%d') AS date, strftime(event_time, '%H') AS hour FROM raw")
+def _(g):
+    return streams.archived(g, by_stream=F.col("event_id") % 2 == 0)
+
+
+@check("s06_bronze", "SELECT CAST(event_time AS DATE) AS event_day, CAST(date_part('hour', event_time) AS INT) AS event_hour, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS event_ids FROM raw GROUP BY 1, 2")
+def _(g):
+    root = scratch_path(g.spark, "bronze")
+    lake.write_bronze(g.raw, root)
+    return g.spark.read.parquet(root).groupBy("event_day", "event_hour").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("event_ids"))
+
+
+@check("s18_sorted_playback", """
+    SELECT event_id, user_id, event_time FROM stg, (SELECT min(event_time) + (max(event_time) - min(event_time)) / 2 AS middle FROM stg)
+    WHERE event_time >= date_trunc('day', middle) AND event_time < date_trunc('day', middle) + INTERVAL 9 DAY""")
+def _(g):
+    root = scratch_path(g.spark, "sorted")
+    lake.sorted_playback(g.events, root)
+    middle = g.spark.read.parquet(root).agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).first()
+    since = (middle.a + (middle.b - middle.a) / 2).date()
+    return lake.read_playback(g.spark, root, str(since), str(since + datetime.timedelta(days=9))).select("event_id", "user_id", "event_time")
+
+
 @check("s14_stream_changes", """
     SELECT user_id, plan_id, status, updated_at, subscription_id FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, subscription_id DESC) AS rn FROM subs) WHERE rn = 1 AND op <> 'd'""")
@@ -1169,6 +1225,31 @@ def _(g):
     return factors.als_recommend(watch_scores(g), maxIter=5)
 
 
+# what holds whatever the factors are: as many titles as are left, none seen, ranks without gaps, falling scores
+COMPLETE_LISTS = """
+    SELECT user_id, n, n AS n_titles, n AS last_rank, 0 AS n_seen, true AS falling FROM (
+      SELECT user_id, least(10, (SELECT count(DISTINCT content_id) FROM implicit) - count(DISTINCT content_id)) AS n FROM implicit GROUP BY user_id) WHERE n > 0"""
+
+
+def list_facts(g, recommend, **options):
+    scores = cut_lineage(watch_scores(g))
+    got = recommend(scores, **options).join(scores.select("user_id", "content_id", F.lit(1).alias("seen")), ["user_id", "content_id"], "left")
+    before = Window.partitionBy("user_id").orderBy("rank")
+    got = got.withColumn("ok", F.col("cf_score") <= F.coalesce(F.lag("cf_score").over(before), F.col("cf_score")))
+    return got.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("content_id").alias("n_titles"), F.max("rank").cast("bigint").alias("last_rank"),
+                                      F.count("seen").cast("int").alias("n_seen"), F.every("ok").alias("falling"))
+
+
+@check("r05_svd_lists", COMPLETE_LISTS)
+def _(g):
+    return list_facts(g, factors.svd_recommend)
+
+
+@check("r06_als_lists", COMPLETE_LISTS)
+def _(g):
+    return list_facts(g, factors.als_recommend, maxIter=5)
+
+
 SCORES = """SELECT user_id, content_id, score AS cf_score, rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, content_id) AS rank FROM implicit) WHERE rank <= 10"""
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from checks.given import AS_OF, Given
 from marquee.functions.scalars import PLAYBACK_TOPIC
@@ -12,6 +12,7 @@ from marquee.operators import rollups
 from marquee.session import scratch_path
 from marquee.sources import keyed as keyed_tables
 from marquee.sources.contracts import CONTRACTS
+from marquee.sources.lake import write_lake
 from marquee.sources.upsert import read_changed
 from marquee.streaming import complete, jobs, meter, monitors, sinks, stateful
 
@@ -49,10 +50,14 @@ def playback(g: Given, table: str) -> DataFrame:
     return sinks.read_batches(g.spark, f"{root}/{table}")
 
 
-def archived(g: Given) -> DataFrame:
+def archived(g: Given, by_stream: Column | None = None) -> DataFrame:
+    """The archive of all deliveries: filled by a stream, or the rows not ``by_stream`` by a batch job."""
     root = scratch_path(g.spark, "lake")
     raw = Streamed(g, "events").raw.withColumn("topic", F.lit(PLAYBACK_TOPIC))
-    jobs.write_lake_stream(raw, root, scratch_path(g.spark, "checkpoint"), **ONCE).awaitTermination()
+    mine = raw if by_stream is None else raw.where(by_stream)
+    jobs.write_lake_stream(mine, root, scratch_path(g.spark, "checkpoint"), **ONCE).awaitTermination()
+    if by_stream is not None:
+        write_lake(g.raw.where(~by_stream).withColumn("topic", F.lit(PLAYBACK_TOPIC)), root, AS_OF)
     return g.spark.read.parquet(root).select(
         "event_id", "ingestion_time", "category", F.col("date").cast("string"), F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour"))
 

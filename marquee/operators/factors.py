@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from marquee.functions.scalars import round_half_up
 from marquee.operators.vector import block_top_k
@@ -138,7 +138,10 @@ def als_recommend(scores: DataFrame, rank: int = 16, top: int = 10, seed: int =
 
 
 def _numbered(scores: DataFrame, column: str) -> DataFrame:
-    """Distinct ids with an int number each, fixed by a checkpoint before use."""
-    ids = scores.select(column).distinct().rdd.map(lambda r: r[0]).zipWithIndex()
-    kind = scores.schema[column].dataType.simpleString()
-    return cut_lineage(ids.toDF(f"{column} {kind}, {column}_n bigint").withColumn(f"{column}_n", F.col(f"{column}_n").cast("int")))
+    """Distinct ids with an int number each: their place in their partition after those of the earlier partitions."""
+    place = F.monotonically_increasing_id()
+    ids = cut_lineage(scores.select(column).distinct().select(column, F.shiftright(place, 33).alias("_part"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")))
+    sizes = ids.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row per partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return ids.join(F.broadcast(starts), "_part").select(column, (F.col("_at") + F.col("_start")).cast("int").alias(f"{column}_n"))
