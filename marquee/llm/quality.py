@@ -7,9 +7,10 @@ from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import raw_words, texts, with_columns
+from marquee.llm.common import map_batches, raw_words, texts, with_columns
 
 SYMBOLS = b"#*$%&|<>"
 _NOT_SYMBOLS = bytes(b for b in range(256) if b not in SYMBOLS)
@@ -119,17 +120,34 @@ def plan_cascade(docs: DataFrame, text: str = "text", sample_rows: int = 512, ro
     rejects it, the order never changes a verdict. An empty table keeps the given order.
     """
     column = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = column.sample(0.05, 7).limit(sample_rows).collect()
-    if len(rows) < 64:
-        rows = column.limit(sample_rows).collect()
-    sample = [measure(r[0].encode()) for r in rows]
+
+    def run(batches):
+        seconds, rejected, n = dict.fromkeys(RULES, 0.0), dict.fromkeys(RULES, 0), 0
+        for batch in batches:
+            for data in texts(batch, "t"):
+                m = measure(data)
+                n += 1
+                for name, rule in RULES.items():
+                    start = time.perf_counter()
+                    for _ in range(rounds):
+                        verdict = rule(m)
+                    seconds[name] += (time.perf_counter() - start) / rounds
+                    rejected[name] += verdict
+        yield pa.RecordBatch.from_pydict({"rule": list(RULES), "seconds": list(seconds.values()), "rejected": list(rejected.values()), "n": [n] * len(RULES)})
+
+    def sums(some: DataFrame) -> dict:
+        """Only sums of a rule come to the driver; texts stay in the tasks."""
+        measured = map_batches(some, "rule string, seconds double, rejected bigint, n bigint", run)
+        return {r["rule"]: r for r in measured.groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("seconds", "rejected", "n")]).collect()}
+
+    known = sums(column.sample(0.05, 7).limit(sample_rows))
+    if not known or next(iter(known.values()))["n"] < 64:
+        known = sums(column.limit(sample_rows))
     found = []
-    for place, (name, rule) in enumerate(RULES.items()):
-        start = time.perf_counter()
-        for _ in range(rounds):
-            rejected = sum(map(rule, sample))
-        cost = (time.perf_counter() - start) / rounds / max(1, len(sample)) + 1e-9
-        share = rejected / max(1, len(sample))
+    for place, name in enumerate(RULES):
+        n = known[name]["n"] if known else 0
+        cost = (known[name]["seconds"] if known else 0.0) / max(1, n) + 1e-9
+        share = (known[name]["rejected"] if known else 0) / max(1, n)
         found.append((-share / cost, place, name, cost, share))
     return [(name, cost, share) for _, _, name, cost, share in sorted(found)]
 
