@@ -122,32 +122,28 @@ def plan_cascade(docs: DataFrame, text: str = "text", sample_rows: int = 512, ro
     column = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
 
     def run(batches):
-        seconds, rejected, n = dict.fromkeys(RULES, 0.0), dict.fromkeys(RULES, 0), 0
         for batch in batches:
             for data in texts(batch, "t"):
-                m = measure(data)
-                n += 1
-                for name, rule in RULES.items():
+                m, seconds, rejected = measure(data), [], []
+                for rule in RULES.values():
                     start = time.perf_counter()
                     for _ in range(rounds):
                         verdict = rule(m)
-                    seconds[name] += (time.perf_counter() - start) / rounds
-                    rejected[name] += verdict
-        yield pa.RecordBatch.from_pydict({"rule": list(RULES), "seconds": list(seconds.values()), "rejected": list(rejected.values()), "n": [n] * len(RULES)})
-
-    def sums(some: DataFrame) -> dict:
-        """Only sums of a rule come to the driver; texts stay in the tasks."""
-        measured = map_batches(some, "rule string, seconds double, rejected bigint, n bigint", run)
-        return {r["rule"]: r for r in measured.groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("seconds", "rejected", "n")]).collect()}
-
-    known = sums(column.sample(0.05, 7).limit(sample_rows))
-    if not known or next(iter(known.values()))["n"] < 64:
-        known = sums(column.limit(sample_rows))
+                    seconds.append((time.perf_counter() - start) / rounds)
+                    rejected.append(int(verdict))
+                yield pa.RecordBatch.from_pydict({"seconds": [seconds], "rejected": [rejected]})
+
+    def measured(some: DataFrame) -> list:
+        """Two numbers a rule for each text; texts stay in the tasks, and no more of these run than give the rows."""
+        return map_batches(some, "seconds array<double>, rejected array<bigint>", run).limit(sample_rows).collect()
+
+    rows = measured(column.sample(0.05, 7))
+    if len(rows) < 64:
+        rows = measured(column)
     found = []
     for place, name in enumerate(RULES):
-        n = known[name]["n"] if known else 0
-        cost = (known[name]["seconds"] if known else 0.0) / max(1, n) + 1e-9
-        share = (known[name]["rejected"] if known else 0) / max(1, n)
+        cost = sum(r["seconds"][place] for r in rows) / max(1, len(rows)) + 1e-9
+        share = sum(r["rejected"][place] for r in rows) / max(1, len(rows))
         found.append((-share / cost, place, name, cost, share))
     return [(name, cost, share) for _, _, name, cost, share in sorted(found)]
 
