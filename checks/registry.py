@@ -1375,9 +1375,10 @@ def _(g):
 @check("c03_embedding_delta", f"SELECT {CHUNK_ID} AS chunk_id, sha256(chunk_text) AS content_hash, chunk_text FROM ({CHUNK_TEXT}) WHERE content_id IN (SELECT content_id FROM content WHERE language = 'hi' OR release_year > 2020)")
 def _(g):
     chunks = text.catalog_chunks(g.movies, g.series)
-    old = chunks.join(g.content.select("content_id", F.col("release_year").alias("year")), "content_id").where(F.col("language") == "en")
-    changed = F.when(F.col("year") > 2020, F.lit("older text")).otherwise(F.col("chunk_text"))
-    existing = old.select("chunk_id", F.sha2(changed, 256).alias("content_hash"))
+    # the index knows a title by its id; one that is new or changed in any of its rows is so in all of them
+    touched = g.content.where("language = 'hi' OR release_year > 2020").select("content_id", F.lit(True).alias("touched")).distinct()
+    old = chunks.where("language = 'en' AND content_id IS NOT NULL").join(touched, "content_id", "left")
+    existing = old.select("chunk_id", F.sha2(F.when(F.col("touched"), F.lit("older text")).otherwise(F.col("chunk_text")), 256).alias("content_hash"))
     return text.embedding_delta(chunks, existing).select("chunk_id", "content_hash", "chunk_text")
 
 
