@@ -85,13 +85,15 @@ def embedding_delta(chunks: DataFrame, existing: DataFrame) -> DataFrame:
 def catalog_diff(chunks: DataFrame, existing: DataFrame) -> DataFrame:
     """(chunk_id, content_hash, chunk_text, change) of chunks that are ``new``, ``changed`` or ``removed`` since they were embedded.
 
-    existing: chunk_id, content_hash. A removed chunk has no text; chunks with the same text are left out.
+    existing: chunk_id, content_hash. A removed chunk has no text; chunks with the same text are left out, also
+    where other texts were embedded under their id.
     """
     marked = chunks.select("chunk_id", "chunk_text", F.sha2("chunk_text", 256).alias("content_hash"))
     old = existing.select("chunk_id", F.col("content_hash").alias("_old"))
     both = marked.join(old, "chunk_id", "full")
     change = F.when(F.col("_old").isNull(), "new").when(F.col("content_hash").isNull(), "removed").when(F.col("content_hash") != F.col("_old"), "changed")
-    return both.withColumn("change", change).where("change IS NOT NULL").select("chunk_id", "content_hash", "chunk_text", "change")
+    told = both.withColumn("change", change).where("change IS NOT NULL").select("chunk_id", "content_hash", "chunk_text", "change")
+    return told.join(existing.select("chunk_id", "content_hash"), ["chunk_id", "content_hash"], "left_anti").select(*told.columns)
 
 
 def answers(queries: DataFrame, hits: DataFrame, platform: str = "our platform") -> DataFrame:
