@@ -96,13 +96,17 @@ def in_batches(df: DataFrame, at, parts: int = BATCHES, last: DataFrame | None =
     """
     spark = df.sparkSession
     path = scratch_path(spark, "arrivals")
-    bounds = df.select(F.percentile_approx(at, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        rows = df if low is None else df.where(at >= low)
-        rows = rows if high is None else rows.where(at < high)
-        rows.coalesce(1).write.mode("append").parquet(path)
-    if last is not None:
-        last.coalesce(1).write.mode("append").parquet(path)
+    df = df.persist()  # derived once, read for the bounds and each part
+    try:
+        bounds = df.select(F.percentile_approx(at, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
+        for low, high in zip([None, *bounds], [*bounds, None]):
+            rows = df if low is None else df.where(at >= low)
+            rows = rows if high is None else rows.where(at < high)
+            rows.repartition(1).write.mode("append").parquet(path)  # all cores choose the rows, one task files them
+        if last is not None:
+            last.coalesce(1).write.mode("append").parquet(path)
+    finally:
+        df.unpersist()
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
