@@ -109,10 +109,15 @@ def refresh(spark: SparkSession, events_root: str, root: str, content: DataFrame
             replace_days(build(source), f"{root}/{name}", at, day)
 
     raw = read_days(spark, events_root, days)
-    events = None if raw is None else stg_playback_events(raw, as_of).withColumn("_day", F.to_date("event_time"))
-    renew("session_parts", events, lambda e: watch_partial(e, "_day"), days, "_day")
-    renew("rollup_content_hourly", events, lambda e: rollup_partial(e, "content_hourly"), days, "window_hour")
-    renew("rollup_platform_daily", events, lambda e: rollup_partial(e, "platform_daily"), days, "metric_date")
+    # three tables come from the clean events, so they are ordered by id and freed of copies once
+    events = None if raw is None else stg_playback_events(raw, as_of).withColumn("_day", F.to_date("event_time")).persist()
+    try:
+        renew("session_parts", events, lambda e: watch_partial(e, "_day"), days, "_day")
+        renew("rollup_content_hourly", events, lambda e: rollup_partial(e, "content_hourly"), days, "window_hour")
+        renew("rollup_platform_daily", events, lambda e: rollup_partial(e, "platform_daily"), days, "metric_date")
+    finally:
+        if events is not None:
+            events.unpersist()
 
     starts = around(days, span_days, span_days)
     merged = lambda parts: watch_finish(watch_merge(parts), content).withColumn("_day", to_day(F.col("session_start"))).where(
