@@ -28,8 +28,8 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(keep)
 
 
-def _score_block(k: int, metric: str, left_id: str, right_id: str, slice_cells: int = 4_000_000):
-    """Task that scores one block of left vectors against one block of right vectors."""
+def _score_block(k: int, metric: str, left_id: str, right_id: str, slice_cells: int = 1_000_000):
+    """Task that scores one block of left vectors against one block of right vectors, ``slice_cells`` scores at a time."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {left_id: [], right_id: [], "score": []}
@@ -39,13 +39,16 @@ def _score_block(k: int, metric: str, left_id: str, right_id: str, slice_cells:
             right = right.sort_by(right_id)
             a, b = _matrix(vectors, "vec"), _matrix(right, "vec")
             if metric == "cosine":
-                a = a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
-                b = b / np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
+                for m in (a, b):
+                    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
             hide = _hidden(left, vectors, right)
             step = max(1, slice_cells // right.num_rows)
             for start in range(0, vectors.num_rows, step):
                 scores = a[start:start + step] @ b.T
-                scores = np.floor(scores * 10**SCORE_DIGITS + 0.5) / 10**SCORE_DIGITS
+                scores *= 10**SCORE_DIGITS
+                scores += 0.5
+                np.floor(scores, out=scores)
+                scores /= 10**SCORE_DIGITS
                 if hide is not None:
                     inside = (hide[0] >= start) & (hide[0] < start + step)
                     scores[hide[0][inside] - start, hide[1][inside]] = -np.inf
