@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marquee.llm.common import blank_words, map_batches, stage, texts, with_columns
+from marquee.llm.common import blank_words, map_batches, perhaps_in, stage, texts, with_columns
 from marquee.llm.graph import components
 
 COORDS = 96
@@ -167,18 +167,29 @@ class Lists:
             yield met[counts >= matches], counts[counts >= matches]
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes (node, doc_id), from the texts of these documents."""
-    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
-    some = docs.join(ids, docs["doc_id"].eqNullSafe(ids["wanted_id"]), "left_semi").select("text")
+def sets_in(docs: DataFrame, wanted: DataFrame, n: int, once: bool) -> DataFrame:
+    """The rows of ``wanted`` (node, doc_id, ``groups``), one per group, with the node's ``shingles`` from the texts of these documents.
+
+    ``once`` says that no id repeats, so that an id's text is its node's only one.
+    """
+    rows = perhaps_in(docs, wanted, "doc_id").where("_perhaps").select(F.col("doc_id").alias("_id"), "text")
+    some = rows.join(wanted.withColumnRenamed("node", "_node"), F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id", "doc_id")
 
     def run(batch):
         shingler = Shingler(n)
         sets = [shingler(t) for t in texts(batch, "text")]
         return {"node": [node_of(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
 
-    made = with_columns(some, {"node": "bigint", "shingles": "binary"}, run).drop("text")
-    return stage(made.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    made = with_columns(some, {"node": "bigint", "shingles": "binary"}, run).where("node = _node").drop("text", "_node")
+    if not once:
+        made = made.dropDuplicates(["node"])
+    return made.withColumn("_group", F.explode("groups")).select("_group.*", *[c for c in made.columns if c != "groups"])
+
+
+def grouped(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``wanted`` of :func:`sets_in`: a row per node of ``members``, with its document and all its other columns as ``groups``."""
+    others = [c for c in members.columns if c != "node"]
+    return members.groupBy("node").agg(F.collect_list(F.struct(*others)).alias("groups")).join(classes, "node")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -239,15 +250,15 @@ def star_pairs(clusters: DataFrame, signatures: DataFrame, matches: int) -> Data
     return _dealt(clusters).join(signatures, "node").groupBy("hub", "part").applyInArrow(run, "hub bigint, node bigint")
 
 
-def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the pairs of a hub and a node that the full sets confirm."""
+def star_links(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of a hub and a node that the full sets (hub, part, node, shingles) confirm."""
 
     def run(key, table):
         nodes, sets_ = table.column("node").to_pylist(), _sets(table)
         hub = nodes.index(key[0].as_py())
         return _links([(nodes[hub], node) for node, s in zip(nodes, sets_) if node != nodes[hub] and similar(sets_[hub], s, percent)])
 
-    return _dealt(pairs).join(sets, "node").groupBy("hub", "part").applyInArrow(run, "a bigint, b bigint")
+    return sets.groupBy("hub", "part").applyInArrow(run, "a bigint, b bigint")
 
 
 PLACED = "hub bigint, node bigint, label bigint, own int, left int, right int"
@@ -291,8 +302,11 @@ def _apart(key, table: pa.Table, matches: int) -> Iterator[tuple[int, np.ndarray
             yield i, js[ok], counts[ok]
 
 
-def pair_links(placed: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
-    """(a, b): links that join different components; the closest are confirmed first and pairs already joined are skipped."""
+def pair_links(sets: DataFrame, percent: int, matches: int) -> DataFrame:
+    """(a, b): links that join different components; the closest are confirmed first and pairs already joined are skipped.
+
+    ``sets`` are ``PLACED`` rows with signatures and full sets.
+    """
 
     def run(key, table):
         nodes, sets_, label = table.column("node").to_pylist(), _sets(table), table.column("label").to_pylist()
@@ -304,7 +318,7 @@ def pair_links(placed: DataFrame, sets: DataFrame, percent: int, matches: int) -
                 out.append((nodes[i], nodes[j]))
         return _links(out)
 
-    return placed.join(sets, "node").groupBy("hub", "left", "right").applyInArrow(run, "a bigint, b bigint")
+    return sets.groupBy("hub", "left", "right").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame:
@@ -327,11 +341,12 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80) -> DataFrame
     clusters = hub_clusters(nodes, matches)
     held = stage(nodes.join(clusters.select("node").distinct(), "node", "left_semi"), "cluster-signatures")
     pairs = stage(star_pairs(clusters, held, matches), "star-pairs")
-    ends = pairs.select("node").union(pairs.select("hub")).distinct()
-    star = stage(star_links(pairs, sets_of(docs, ends.join(classes, "node"), n), percent), "star-links")
-    placed = stage(open_nodes(clusters, held, components(star), matches), "open-nodes")
-    open_sets = sets_of(docs, placed.select("node").distinct().join(classes, "node"), n)
-    rest = stage(pair_links(placed.join(held, "node"), open_sets, percent, matches), "pair-links")
+    once = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    ends = stage(grouped(_dealt(pairs), classes), "star-ends")
+    star = stage(star_links(sets_in(docs, ends, n, once), percent), "star-links")
+    placed = open_nodes(clusters, held, components(star), matches)
+    opened = stage(grouped(placed, classes).join(held, "node"), "open-nodes")
+    rest = stage(pair_links(sets_in(docs, opened, n, once), percent, matches), "pair-links")
     labels = components(star.union(rest))
     lowest = labels.join(classes, "node").groupBy("label").agg(F.min("doc_id").alias("low"))
     of_node = classes.join(labels.join(lowest, "label").select("node", "low"), "node", "left").select(

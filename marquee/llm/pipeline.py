@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.llm import bpe, neardup, postings, pseudonyms, quality
-from marquee.llm.common import stage, table
+from marquee.llm.common import perhaps_in, stage, table
 
 # A demonstration key, so that runs can be compared; set MARQUEE_PSEUDONYM_KEY for real data.
 PSEUDONYM_KEY = os.environ.get("MARQUEE_PSEUDONYM_KEY", "for tests only").encode()
@@ -43,8 +43,10 @@ def keep_first_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     linked with nothing and stay, so do other columns; an empty table stays empty.
     """
     found = stage(neardup.near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT), "near-duplicates")
-    keep = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
+    gone = stage(found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id"), "dropped-ids")
+    sifted = perhaps_in(docs, gone, "doc_id")
+    suspects = sifted.where("_perhaps")
+    kept = suspects.join(gone, suspects["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").unionByName(sifted.where("NOT _perhaps")).drop("_perhaps")
     again = found.where("node IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again_id"))
     if again.isEmpty():
         return kept

@@ -3,7 +3,8 @@
 import re
 
 import corpus_pipeline
-from marquee.llm import bpe, pipeline, pseudonyms
+from marquee.llm import bpe, neardup, pipeline, pseudonyms
+from marquee.llm.common import perhaps_in
 from tests.llm.test_operators import alnum, blank, edited, lowered, prose, quality_of
 
 
@@ -54,3 +55,30 @@ def test_stages_keep_clashing_columns(spark, tmp_path):
     coded = pipeline.encode(spark, docs, str(tmp_path))
     assert coded.columns == ["doc_id", "ids", "n_tokens", "decoded"] and coded.count() == 4
     assert coded.where("doc_id = 3").first().n_tokens == 0
+
+
+def test_values_are_sifted_without_loss(spark):
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(3000)] + [(None, "null")], "id int, text string")
+    values = spark.createDataFrame([(i,) for i in range(0, 3000, 7)] + [(None,)], "id bigint")
+    got = perhaps_in(rows, values, "id")
+    assert got.columns == ["id", "text", "_perhaps"] and got.count() == 3001
+    found = {r.id for r in got.where("_perhaps").collect()}
+    assert found >= {None, *range(0, 3000, 7)} and len(found) < 450
+    assert perhaps_in(rows, values.limit(0), "id").where("_perhaps").isEmpty()
+
+
+def test_copies_are_dropped_without_moving_other_texts(spark):
+    """Joins of whole rows see only those that the sieve lets through."""
+    base = prose(90, 51)
+    docs = spark.createDataFrame([(i, prose(90, 60 + i)) for i in range(20)] + [(30, base), (31, base), (32, edited(base, 1, 52))], "doc_id int, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = pipeline.keep_first_copy(spark, docs, "")
+        plan = kept._jdf.queryExecution().toString()
+        assert sorted(r.doc_id for r in kept.collect()) == [*range(20), 30] and kept.schema["doc_id"].dataType.simpleString() == "int"
+        wanted = neardup.grouped(spark.createDataFrame([(5, 1, 0), (5, 2, 0)], "node bigint, hub bigint, part int"), spark.createDataFrame([(5, 30)], "node bigint, doc_id bigint"))
+        plan += neardup.sets_in(docs, wanted, 5, True)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("bitmap_construct_agg") >= 2
