@@ -1153,8 +1153,9 @@ def erased_files(g):
     """(paths of stored tables after the erasure, audit); the tables are written in several files first."""
     root = scratch_path(g.spark, "stored")
     tables = {"users": g.users, "subscriptions": g.subs, "raw_playback_events": g.raw, "fact_watch_sessions": g.sessions}
+    files = max(6, g.spark.sparkContext.defaultParallelism)  # a task each, so no core waits
     for name, df in tables.items():
-        df.repartitionByRange(6, "user_id").write.parquet(f"{root}/{name}")
+        df.repartitionByRange(files, "user_id").write.parquet(f"{root}/{name}")
     paths = {name: f"{root}/{name}" for name in tables}
     return paths, erasure.erase_stored(g.spark, paths, requested(g))
 
