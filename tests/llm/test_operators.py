@@ -565,3 +565,40 @@ def test_settle_keeps_what_did_not_change():
     old, t, sizes = np.array([1, 4, 5, 3]), np.array([1, 2, 3, 1]), np.array([3, 1, 2, 2, 1, 3])
     t, sizes = pitman_yor.settle(old, t, sizes, np.array([2, 4, 1, 3]))
     assert t.tolist() == [1, 2, 1, 1] and sizes.tolist() == [2, 3, 1, 3]
+
+
+def expected_tables(c, scale, parent, discount, most):
+    """Mean number of tables of a dish with ``c`` customers, from the generalised Stirling numbers."""
+    k = np.arange(1, most + 1)
+    log = np.full(most, -np.inf)
+    log[0] = 0.0
+    with np.errstate(divide="ignore"):
+        for m in range(1, c):
+            log = np.logaddexp(np.concatenate([[-np.inf], log[:-1]]), log + np.log(np.maximum(m - k * discount, 0)))
+    log += np.cumsum(np.log(scale + discount * (k - 1))) + k * math.log(parent)
+    weight = np.exp(log - log.max())
+    return float((k * weight).sum() / weight.sum())
+
+
+def test_a_sweep_reaches_every_customer():
+    """From one table each, a few sweeps bring dishes of any size to the exact mean number of tables."""
+    rng = np.random.default_rng(1)
+    for c, scale, parent, discount in [(2, 3.0, 0.3, 0.6), (4, 40.0, 0.2, 0.5), (30, 20.0, 0.2, 0.7), (40, 900.0, 0.2, 0.6), (300, 60.0, 0.1, 0.7),
+                                       (3000, 50.0, 0.05, 0.5), (3000, 4000.0, 0.01, 0.7), (2000, 2.0, 0.9, 0.5), (5000, 1.0, 1e-4, 0.8)]:
+        n = 600
+        t, sizes, count = np.ones(n, np.int64), np.full(n, c), np.full(n, c)
+        means = []
+        for _ in range(24):
+            t, sizes = pitman_yor.reseat(count, t, sizes, scale + discount * t, np.full(n, parent), discount, rng)
+            assert (np.add.reduceat(sizes, np.cumsum(t) - t) == c).all() and sizes.min() > 0 and len(sizes) == t.sum()
+            means.append(t.mean())
+        want = expected_tables(c, scale, parent, discount, min(c, 600))
+        assert abs(np.mean(means[16:]) - want) < 0.03 * want + 0.05, (c, scale, parent, discount, means, want)
+
+
+def test_pack_keeps_types_and_values():
+    arrays = [np.arange(5) - 2, np.array([True, False]), np.zeros(0, np.uint16), np.array([1, 70000], np.uint32), np.array([1.5, -2.0])]
+    got = pitman_yor._unpack(pitman_yor._pack(*arrays))
+    assert [(x.dtype, x.tolist()) for x in got] == [(x.dtype, x.tolist()) for x in arrays]
+    small = (np.random.default_rng(0).integers(0, 4, 5000) * 61 + np.arange(5000)).astype(np.uint32)
+    assert len(pitman_yor._pack(small)) < 0.33 * small.nbytes
