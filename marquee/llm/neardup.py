@@ -124,7 +124,7 @@ def hub_clusters(nodes: DataFrame, matches: int) -> DataFrame:
     """
     lists = postings(nodes)
     counts = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(lists.join(counts, "key").select("key", "node", "n"), "shared-lists")
+    shared = lists.join(counts, "key").select("key", "node", "n")
     rarest = Window.partitionBy("node").orderBy("n", "key")  # at most COORDS rows
     whole = Window.partitionBy("node")
     prefix = (shared.select("key", "node", F.row_number().over(rarest).alias("place"), F.count("*").over(whole).alias("on"), F.sum("n").over(whole).alias("weight"))

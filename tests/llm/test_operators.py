@@ -596,6 +596,17 @@ def test_a_sweep_reaches_every_customer():
         assert abs(np.mean(means[16:]) - want) < 0.03 * want + 0.05, (c, scale, parent, discount, means, want)
 
 
+def test_shared_lists_are_not_kept(spark, monkeypatch):
+    """Lists of all texts are the largest table of the near duplicates: they go from shuffle to shuffle, not to the shared folder."""
+    names = []
+    stage = neardup.stage
+    monkeypatch.setattr(neardup, "stage", lambda df, name: names.append(name) or stage(df, name))
+    texts_ = [" ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(41)), "other words here"]
+    docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 2} and "prefix-lists" in names and "shared-lists" not in names
+
+
 def test_pack_keeps_types_and_values():
     arrays = [np.arange(5) - 2, np.array([True, False]), np.zeros(0, np.uint16), np.array([1, 70000], np.uint32), np.array([1.5, -2.0])]
     got = pitman_yor._unpack(pitman_yor._pack(*arrays))
