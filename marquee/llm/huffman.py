@@ -253,7 +253,7 @@ def read_ids(manifest: DataFrame, root: str, doc_id: str = "doc_id") -> DataFram
 
 # --- encoding with the library ----------------------------------------------------
 
-REMEMBERED = 600_000  # runs that a Python worker remembers, from task to task; emptied when full
+REMEMBERED = 600_000  # runs that a Python worker remembers, from task to task; when full they become the older ones, of which used ones are taken over
 
 
 # Fixed value: the published pattern of byte-level vocabularies. Characters before U+0558 have one class in every Unicode version.
@@ -289,6 +289,7 @@ class Library:
         self.blank = " ".translate(self.letters)
         self.known: dict[str, bytes] = {}  # run without the blank before it -> ids
         self.bare: dict[str, bytes] = {}  # the same of runs without a blank before them
+        self.older: dict[str, bytes] = {}  # what ``known`` was when it was last full
         self.newline = self._piece("\n")
 
     def _whole(self, text: str) -> bytes:
@@ -309,7 +310,7 @@ class Library:
     def _seen(self, run: str, lead: str) -> bytes:
         memory = self.known if lead else self.bare
         if run not in memory:
-            memory[run] = self._run(run, lead)
+            memory[run] = (lead and self.older.get(run)) or self._run(run, lead)
         return memory[run]
 
     def _run(self, run: str, lead: str = " ") -> bytes:
@@ -337,10 +338,12 @@ class Library:
             tail = b"".join(map(known.__getitem__, rest))
         except KeyError:
             if len(known) + len(self.bare) > REMEMBERED:
-                known.clear()
+                self.older, self.known = known, {}
                 self.bare.clear()
+                known = self.known
+            older = self.older
             for run in set(rest).difference(known):
-                known[run] = self._run(run)
+                known[run] = older.get(run) or self._run(run)
             tail = b"".join(map(known.__getitem__, rest))
         return self._run(first, "") + tail
 

@@ -596,6 +596,19 @@ def test_a_sweep_reaches_every_customer():
         assert abs(np.mean(means[16:]) - want) < 0.03 * want + 0.05, (c, scale, parent, discount, means, want)
 
 
+def test_library_takes_over_used_runs(monkeypatch):
+    monkeypatch.setattr(huffman, "REMEMBERED", 40)
+    lib = huffman.Library(public_tokenizers.path("byte_bpe_50k.json"))
+    asked = Counter()
+    run = lib._run
+    monkeypatch.setattr(lib, "_run", lambda r, lead=" ": asked.update([(r, lead)]) or run(r, lead))
+    for i in range(60):
+        text = f"the often used run of x{i} y{i} z{i}"
+        assert lib.encode(text) == lib._whole(text)
+        assert len(lib.known) + len(lib.older) < 100
+    assert asked["often", " "] == 1 and asked["used", " "] == 1
+
+
 def test_shared_lists_are_not_kept(spark, monkeypatch):
     """Lists of all texts are the largest table of the near duplicates: they go from shuffle to shuffle, not to the shared folder."""
     names = []
