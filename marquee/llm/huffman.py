@@ -7,6 +7,7 @@ import re
 import struct
 import zlib
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -272,6 +273,21 @@ def lone_blanks(text: str) -> bool:
     return len(words) - 1 == len(text) - sum(map(len, words))
 
 
+class _Spaced(ValueError):
+    """A run that breaks ``lone_blanks``."""
+
+
+class _Runs(dict):
+    """Ids by run; an unknown run is found on its first look-up."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, run: str) -> bytes:
+        return self.find(run)
+
+
 class Library:
     """Byte-level BPE by the tokenizers library, whose model is asked once for each run between blanks."""
 
@@ -287,7 +303,7 @@ class Library:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.blank = " ".translate(self.letters)
-        self.known: dict[str, bytes] = {}  # run without the blank before it -> ids
+        self.known = _Runs(self._find)  # run without the blank before it -> ids
         self.bare: dict[str, bytes] = {}  # the same of runs without a blank before them
         self.older: dict[str, bytes] = {}  # what ``known`` was when it was last full
         self.newline = self._piece("\n")
@@ -307,11 +323,23 @@ class Library:
         """A run of letters, the blank before it included."""
         return self._ids(self.blank + word) if lead and word.isascii() else self._piece(lead + word)
 
+    def _find(self, run: str) -> bytes:
+        ids = self.older.get(run)
+        if ids is None:
+            if not (run.isalpha() or lone_blanks(run)):
+                raise _Spaced
+            ids = self._run(run)
+            if "\n" in run:  # hardly ever met again, and its parts are remembered
+                return ids
+        self.known[run] = ids
+        return ids
+
     def _seen(self, run: str, lead: str) -> bytes:
-        memory = self.known if lead else self.bare
-        if run not in memory:
-            memory[run] = (lead and self.older.get(run)) or self._run(run, lead)
-        return memory[run]
+        if lead:
+            return self.known[run]
+        if run not in self.bare:
+            self.bare[run] = self._run(run, "")
+        return self.bare[run]
 
     def _run(self, run: str, lead: str = " ") -> bytes:
         if run.isalpha():
@@ -330,21 +358,18 @@ class Library:
         """Ids as little-endian numbers of ``kind``."""
         if not text:
             return b""
-        if not lone_blanks(text) or any(a in text for a in self.added):
+        if any(a in text for a in self.added):
             return self._whole(text)
+        if len(self.known) + len(self.bare) > REMEMBERED:
+            self.older, self.known = self.known, _Runs(self._find)
+            self.bare.clear()
         first, *rest = text.split(" ")
-        known = self.known
-        try:
-            tail = b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            if len(known) + len(self.bare) > REMEMBERED:
-                self.older, self.known = known, {}
-                self.bare.clear()
-                known = self.known
-            older = self.older
-            for run in set(rest).difference(known):
-                known[run] = older.get(run) or self._run(run)
-            tail = b"".join(map(known.__getitem__, rest))
+        if not lone_blanks(first):
+            return self._whole(text)
+        try:  # a text has lone blanks if all its runs have; remembered runs have
+            tail = b"".join(map(self.known.__getitem__, rest))
+        except _Spaced:
+            return self._whole(text)
         return self._run(first, "") + tail
 
 

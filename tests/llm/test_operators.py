@@ -609,6 +609,20 @@ def test_library_takes_over_used_runs(monkeypatch):
     assert asked["often", " "] == 1 and asked["used", " "] == 1
 
 
+def test_library_looks_at_blanks_of_unknown_runs_only(monkeypatch):
+    """White space is judged run by run, once; lines of a text are not remembered, their runs are."""
+    lib = huffman.Library(public_tokenizers.path("byte_bpe_50k.json"))
+    judged = Counter()
+    lone = huffman.lone_blanks
+    monkeypatch.setattr(huffman, "lone_blanks", lambda t: judged.update([t]) or lone(t))
+    for i in range(5):
+        text = f"one run, 12 of{i}\nmany, and 12 more"
+        assert lib.encode(text) == lib._whole(text)
+    assert judged["run,"] == judged["12"] == 1 and not any("\n" in r for r in lib.known)
+    for text in ("", " ", "a  run", "a run ", " a run", "a \trun", "a\n run", "a run,\n\nand", "a run,\n", "\u00a0", "a \u2003run", "a\x1crun", "a\x1c\x1drun", "a\n", "\na run"):
+        assert lib.encode(text) == lib._whole(text), text
+
+
 def test_shared_lists_are_not_kept(spark, monkeypatch):
     """Lists of all texts are the largest table of the near duplicates: they go from shuffle to shuffle, not to the shared folder."""
     names = []
