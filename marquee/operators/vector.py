@@ -20,12 +20,29 @@ def _matrix(table: pa.Table, name: str) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+GROUP = 64  # scores of a row of which the best is looked at first
+MOST_TASKS = 20_000
+
+
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k best scores per row, ties included."""
-    k = min(k, scores.shape[1])
-    edge = np.partition(-scores, k - 1, axis=1)[:, k - 1]
-    keep = (-scores <= edge[:, None]) & np.isfinite(scores)
-    return np.nonzero(keep)
+    """Row and column numbers of the k best scores per row once rounded, ties included, and perhaps some more.
+
+    The k-th of the groups' best scores is a floor that k scores reach, so rows need no sorting.
+    """
+    groups = scores.shape[1] // GROUP
+    tops = scores[:, : groups * GROUP].reshape(len(scores), GROUP, groups).max(axis=1) if groups > k else scores
+    if not (tops.max(axis=1) < np.inf).all():  # scores that are no numbers are none of the best
+        tops = scores = np.where(np.isfinite(scores), scores, -np.inf)
+    last = max(tops.shape[1] - k, 0)
+    floor = np.partition(tops, last, axis=1)[:, last]
+    floor = floor - 2 * 10.0**-SCORE_DIGITS - 1e-15 * np.abs(floor)  # what rounds to the same counts as a tie
+    rows, cols = np.divmod(np.flatnonzero(scores >= floor[:, None]), scores.shape[1])
+    known = np.isfinite(scores[rows, cols])
+    return rows[known], cols[known]
+
+
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    return np.floor(scores * 10**SCORE_DIGITS + 0.5) / 10**SCORE_DIGITS
 
 
 def _score_block(k: int, metric: str, left_id: str, right_id: str, slice_cells: int = 1_000_000):
@@ -45,22 +62,19 @@ def _score_block(k: int, metric: str, left_id: str, right_id: str, slice_cells:
             step = max(1, slice_cells // right.num_rows)
             for start in range(0, vectors.num_rows, step):
                 scores = a[start:start + step] @ b.T
-                scores *= 10**SCORE_DIGITS
-                scores += 0.5
-                np.floor(scores, out=scores)
-                scores /= 10**SCORE_DIGITS
                 if hide is not None:
                     inside = (hide[0] >= start) & (hide[0] < start + step)
                     scores[hide[0][inside] - start, hide[1][inside]] = -np.inf
                 rows, cols = _best(scores, k)
-                order = np.lexsort((cols, -scores[rows, cols], rows))
-                rows, cols = rows[order], cols[order]
+                found = _rounded(scores[rows, cols])
+                order = np.lexsort((cols, -found, rows))
+                rows, cols, found = rows[order], cols[order], found[order]
                 first = np.searchsorted(rows, rows, side="left")
                 kept = np.arange(len(rows)) - first < k
-                rows, cols = rows[kept], cols[kept]
+                rows, cols, found = rows[kept], cols[kept], found[kept]
                 out[left_id].append(vectors.column(left_id).take(pa.array(rows + start)))
                 out[right_id].append(right.column(right_id).take(pa.array(cols)))
-                out["score"].append(pa.array(scores[rows, cols]))
+                out["score"].append(pa.array(found))
         kinds = {left_id: left.schema.field(left_id).type, right_id: right.schema.field(right_id).type, "score": pa.float64()}
         flat = lambda parts: [c for p in parts for c in (p.chunks if isinstance(p, pa.ChunkedArray) else [p])]
         return pa.table({name: pa.chunked_array(flat(out[name]), type=kind) for name, kind in kinds.items()})
@@ -99,9 +113,14 @@ def block_top_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_i
     blocks = lambda n, most: F.greatest(
         F.ceil(n / F.lit(block_rows)), F.least(F.ceil(n / F.lit(256)), F.lit(most)), F.lit(1)).cast("int")
     count = F.count(F.lit(1))
+    pairs = None
     if bucket is None:
-        sizes = {key: F.lit(0), "_lb": blocks(left.agg(count).scalar(), spread), "_rb": blocks(right.agg(count).scalar(), 1)}
+        n_left, n_right = left.count(), right.count()
+        n_blocks = lambda n, most: max(-(-n // block_rows), min(-(-n // 256), most), 1)
+        lb, rb = n_blocks(n_left, spread), n_blocks(n_right, 1)
+        sizes = {key: F.lit(0), "_lb": F.lit(lb), "_rb": F.lit(rb)}
         sized = lambda df: df.withColumns(sizes)
+        pairs = min(lb * rb, MOST_TASKS)
     else:
         n_left = left.groupBy(key).agg(count.alias("_nl"))
         n_right = right.groupBy(key).agg(count.alias("_nr"))
@@ -128,6 +147,10 @@ def block_top_k(left: DataFrame, right: DataFrame, k: int, left_id: str, right_i
         StructField("score", DoubleType()),
     ])
     cell = [key, "_l", "_r"]
+    if pairs is not None:
+        # as many tasks as pairs of blocks: a pair has few bytes but much work, and partitions would be merged by their bytes
+        cell = cell[1:]
+        lefts, rights = lefts.repartition(pairs, *cell), rights.repartition(pairs, *cell)
     scored = lefts.groupBy(*cell).cogroup(rights.groupBy(*cell)).applyInArrow(
         _score_block(k, metric, left_id, right_id), schema)
     return top_k(scored, [left_id], [F.col("score").desc(), F.col(right_id)], k)
