@@ -101,6 +101,8 @@ def late_flag_sink(root: str, lateness_seconds: float, order_col: str, scope: li
         try:
             marks = None
             if exists(spark, path):
+                if batch.isEmpty():  # a batch that only clears the state; reading it did
+                    return
                 past = spark.read.parquet(path).where((F.col(RUN) == current_run(spark)) & (F.col(BATCH) < batch_id))
                 marks = past.groupBy(*scope).agg(F.max("high_mark").alias("high_mark"))
             high = batch.groupBy(*scope).agg(F.max("event_time").alias("high_mark"))
