@@ -1193,9 +1193,9 @@ def _(g):
 # --- recommenders -----------------------------------------------------------
 
 
-def purchase_rules(g):
+def purchase_rules(g, purchases=None):
     """The rules as a stored table, as the lookups below read them."""
-    return cut_lineage(rules.association_rules(rules.baskets(g.purchases)))
+    return cut_lineage(rules.association_rules(rules.baskets(g.purchases if purchases is None else purchases)))
 
 
 @check("r01_baskets", "SELECT user_id, content_id FROM baskets")
@@ -1291,8 +1291,8 @@ def item_sims(g, k=10):
         "item_id", "content_id", "similarity_score")
 
 
-def next_items(g):
-    return hybrid.item_hybrid(all_items(g), purchase_rules(g), item_sims(g), g.items, k=5)
+def next_items(g, purchases=None):
+    return hybrid.item_hybrid(all_items(g), purchase_rules(g, purchases), item_sims(g), g.items, k=5)
 
 
 @check("r08_item_hybrid", """
@@ -1323,11 +1323,12 @@ NEAR = f"""SELECT a.user_id, h.content_id, h.score, h.rank FROM (SELECT u.user_i
           FROM (SELECT * FROM ({CF}) WHERE user_id IN (SELECT user_id FROM users)) c FULL JOIN ({NEAR}) n ON c.user_id = n.user_id AND c.content_id = n.content_id)) WHERE rank <= 5) s
     LEFT JOIN items i ON i.content_id = s.content_id""")
 def _(g):
-    counted = g.purchases.groupBy("user_id", "content_id").agg(F.count(F.lit(1)).alias("cnt"))
+    # orders, lines and parts meet once; shelves and rules read the counts
+    counted = cut_lineage(g.purchases.repartition("user_id").groupBy("user_id", "content_id").agg(F.count(F.lit(1)).alias("cnt")))
     cf = staging.top_k(counted, ["user_id"], [F.col("cnt").desc(), F.col("content_id")], 5).select(
         "user_id", "content_id", scalars.round_half_up(F.col("cnt") / 10.0, 4).alias("cf_score"), "rank")
-    recent = staging.top_k(g.purchases.distinct(), ["user_id"], [F.col("content_id")], 1)
-    return hybrid.personal_shelves(g.users, recent, cf, next_items(g), g.items, k=5, fallback_item="Brand#1/PROMO")
+    recent = staging.top_k(counted.select("user_id", "content_id"), ["user_id"], [F.col("content_id")], 1)
+    return hybrid.personal_shelves(g.users, recent, cf, next_items(g, counted), g.items, k=5, fallback_item="Brand#1/PROMO")
 
 
 THEME_HITS = """SELECT CASE WHEN label = 0 THEN 'Award winning compelling thriller and drama with high completion rate' ELSE 'Top trending movies and series across all genres' END AS theme,
