@@ -90,7 +90,7 @@ BATCHES = 5
 
 
 def in_batches(df: DataFrame, at, parts: int = BATCHES, last: DataFrame | None = None) -> DataFrame:
-    """A stream of all rows of ``df`` in ``parts`` micro-batches by rising ``at`` (a number), and ``last`` as one more.
+    """A stream of all rows of ``df`` in ``parts`` micro-batches by rising ``at`` (a number, nulls first), and ``last`` as one more.
 
     The file source takes files in the order in which they were written, one file a batch.
     """
@@ -101,7 +101,7 @@ def in_batches(df: DataFrame, at, parts: int = BATCHES, last: DataFrame | None =
         bounds = df.select(F.percentile_approx(at, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
         for low, high in zip([None, *bounds], [*bounds, None]):
             rows = df if low is None else df.where(at >= low)
-            rows = rows if high is None else rows.where(at < high)
+            rows = rows if high is None else rows.where(at < high if low is not None else at.isNull() | (at < high))
             rows.repartition(1).write.mode("append").parquet(path)  # all cores choose the rows, one task files them
         if last is not None:
             last.coalesce(1).write.mode("append").parquet(path)
@@ -162,20 +162,20 @@ def dlq_windows(g: Given, marked: DataFrame) -> DataFrame:
     return sinks.read_batches(g.spark, f"{root}/t")
 
 
-def stopped_and_resumed(g: Given) -> tuple[DataFrame, meter.Meter, meter.Meter]:
-    """Deliveries stored by a run that is stopped after half of them and by a second one over its checkpoint."""
+def stopped_and_resumed(g: Given) -> tuple[DataFrame, int, meter.Meter, meter.Meter]:
+    """Deliveries stored by a run that is stopped after half of them and by a second one over its checkpoint, and the number sent."""
     root, check = scratch_path(g.spark, "resumed"), scratch_path(g.spark, "checkpoint")
     rows = deliveries(g).select("event_id", "ingestion_time")
-    half = rows.count() // 2
+    sent = rows.count()
     src = meter.observed(in_batches(rows, F.unix_micros("ingestion_time"), 8))
 
     def start(**when):
         return lambda: (src.writeStream.foreachBatch(sinks.foreach_batch_sink({"t": lambda d: d}, root)).outputMode("append")
                         .option("checkpointLocation", check).trigger(**when).start())
 
-    first = meter.run_metered(g.spark, start(processingTime="1 second"), stop_after=half)
+    first = meter.run_metered(g.spark, start(processingTime="1 second"), stop_after=sent // 2)
     second = meter.run_metered(g.spark, start(**ONCE))
-    return sinks.read_batches(g.spark, f"{root}/t"), first, second
+    return g.spark.read.schema(rows.schema).parquet(f"{root}/t"), sent, first, second
 
 
 def keyed(g: Given) -> DataFrame:

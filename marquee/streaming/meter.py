@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 RECEIVED, OBSERVED = "received", "playback"
+LAST_NEWS = 120  # seconds for the events of a run that has ended
 
 
 def observed(df: DataFrame, **counted: Column) -> DataFrame:
@@ -46,11 +47,11 @@ class Meter(StreamingQueryListener):
     def offset(self) -> str | None:
         return self.ends.get(self.run)
 
-    def wait(self, received: int | None, seconds: float | None) -> None:
-        """Until the run is over or has received so many events."""
+    def wait(self, received: int | None, seconds: float | None) -> bool:
+        """Until the run is over or has received so many events; False if neither came in time."""
         enough = lambda: self.run in self.over or (received is not None and self.totals.get(RECEIVED, 0) >= received)
         with self.news:
-            self.news.wait_for(enough, seconds)
+            return self.news.wait_for(enough, seconds)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -78,7 +79,7 @@ def run_metered(spark: SparkSession, start: Callable[[], StreamingQuery], stop_a
     """Run a query of an :func:`observed` stream until it ends, has received ``stop_after`` events, or ``seconds`` are over.
 
     A batch that is under way when the query is stopped is not counted unless it ends; the next run over the same
-    checkpoint does it again and goes on from there.
+    checkpoint does it again and goes on from there. Counts that are not whole are an error.
     """
     meter = Meter()
     spark.streams.addListener(meter)
@@ -88,9 +89,11 @@ def run_metered(spark: SparkSession, start: Callable[[], StreamingQuery], stop_a
         meter.wait(stop_after, seconds)
         if query.isActive:
             query.stop()
-        meter.wait(None, 10)  # for what the run told last
+        told = meter.wait(None, LAST_NEWS)  # the end is told after the last batch
         if query.exception() is not None:
             raise query.exception()
+        if not told:
+            raise TimeoutError(f"run {meter.run} ended, but its last counts did not come in {LAST_NEWS} seconds")
         return meter
     finally:
         spark.streams.removeListener(meter)
